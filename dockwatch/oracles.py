@@ -110,3 +110,59 @@ def with_dataset(s: Settings, tail: str) -> str:
 
 def with_base(s: Settings, tail: str) -> str:
     return f"WITH {base_ctes(s)}\n{tail}"
+
+
+def point_feature_ctes(points: str, s: Settings, p: str = "pt") -> str:
+    """CTEs ``{p}_feat`` with features + status for arbitrary (station_id, obs_ts)
+    rows of CTE ``points`` (as-of joins and range joins on raw readings)."""
+    lags = []
+    for off in (15, 30, 60, 1440):
+        lags.append(f"""
+{p}_lag{off} AS (
+  SELECT q.station_id, q.obs_ts, m.avg_bikes_available AS v
+  FROM {points} q ASOF JOIN readings m
+    ON q.station_id = m.station_id AND m.window_start <= q.obs_ts - INTERVAL {off} MINUTE)""")
+    return f"""
+{p}_snap AS (
+  SELECT q.station_id, q.obs_ts, m.window_start AS snapshot_source_ts,
+         m.avg_bikes_available AS b, m.avg_docks_available AS d,
+         m.avg_availability_ratio AS r, m.avg_capacity AS c
+  FROM {points} q ASOF JOIN readings m
+    ON q.station_id = m.station_id AND m.window_start <= q.obs_ts),{",".join(lags)},
+{p}_roll AS (
+  SELECT q.station_id, q.obs_ts,
+    AVG(r.avg_bikes_available) FILTER (WHERE r.window_start >= q.obs_ts - INTERVAL 60 MINUTE) AS a60,
+    MIN(r.avg_bikes_available) FILTER (WHERE r.window_start >= q.obs_ts - INTERVAL 60 MINUTE) AS mn60,
+    MAX(r.avg_bikes_available) FILTER (WHERE r.window_start >= q.obs_ts - INTERVAL 60 MINUTE) AS mx60,
+    AVG(r.avg_availability_ratio) FILTER (WHERE r.window_start >= q.obs_ts - INTERVAL 60 MINUTE) AS ar60,
+    AVG(r.avg_bikes_available) AS a24, MIN(r.avg_bikes_available) AS mn24, MAX(r.avg_bikes_available) AS mx24,
+    CAST(SUM(r.low_availability_events) AS DOUBLE) / NULLIF(SUM(r.event_count), 0) AS lf24
+  FROM {points} q LEFT JOIN readings r
+    ON r.station_id = q.station_id
+   AND r.window_start BETWEEN q.obs_ts - INTERVAL 24 HOUR AND q.obs_ts
+  GROUP BY q.station_id, q.obs_ts),
+{p}_feat AS (
+  SELECT q.station_id, q.obs_ts, s.snapshot_source_ts,
+    s.b AS ft_bikes_available, s.d AS ft_docks_available, s.r AS ft_availability_ratio,
+    l15.v AS ft_bikes_available_lag_15m, l30.v AS ft_bikes_available_lag_30m,
+    l60.v AS ft_bikes_available_lag_60m, l1440.v AS ft_bikes_available_lag_24h,
+    o.a60 AS ft_avg_bikes_60m, o.mn60 AS ft_min_bikes_60m, o.mx60 AS ft_max_bikes_60m,
+    o.ar60 AS ft_avg_ratio_60m, o.a24 AS ft_avg_bikes_24h, o.mn24 AS ft_min_bikes_24h,
+    o.mx24 AS ft_max_bikes_24h, o.lf24 AS ft_low_avail_freq_24h,{TEMPORAL_SELECT.format(t="q.obs_ts")},
+    s.c AS ft_capacity, s.b / NULLIF(s.c, 0) AS ft_pct_bikes_of_capacity,
+    s.d / NULLIF(s.c, 0) AS ft_pct_docks_of_capacity, s.b - o.a60 AS ft_bikes_delta_60m,
+    CASE WHEN s.snapshot_source_ts IS NULL THEN 'station_not_found'
+         WHEN s.c IS NOT NULL AND s.c < {_f(s.min_capacity)} THEN 'out_of_domain'
+         WHEN epoch_us(q.obs_ts) - epoch_us(s.snapshot_source_ts) > {s.max_staleness_min * 60_000_000}::BIGINT THEN 'stale_data'
+         ELSE 'ok' END AS status
+  FROM {points} q
+  LEFT JOIN {p}_snap s ON s.station_id = q.station_id AND s.obs_ts = q.obs_ts
+  LEFT JOIN {p}_lag15 l15 ON l15.station_id = q.station_id AND l15.obs_ts = q.obs_ts
+  LEFT JOIN {p}_lag30 l30 ON l30.station_id = q.station_id AND l30.obs_ts = q.obs_ts
+  LEFT JOIN {p}_lag60 l60 ON l60.station_id = q.station_id AND l60.obs_ts = q.obs_ts
+  LEFT JOIN {p}_lag1440 l1440 ON l1440.station_id = q.station_id AND l1440.obs_ts = q.obs_ts
+  LEFT JOIN {p}_roll o ON o.station_id = q.station_id AND o.obs_ts = q.obs_ts)"""
+
+
+STATUS_SQL = """CAST(CASE status WHEN 'ok' THEN 200 WHEN 'station_not_found' THEN 404
+  WHEN 'no_snapshot' THEN 404 ELSE 422 END AS INTEGER)"""
