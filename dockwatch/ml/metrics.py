@@ -63,9 +63,12 @@ def ranked_cumulative(pred: DataFrame, group: Sequence[str] = ("model",),
     qs = d.approxQuantile("y_score", probs, rel_err) if n_ranges > 1 else []
     splits = sorted(set(float(q) for q in qs))
     splits = [float("-inf")] + splits + [float("inf")]
-    d = Bucketizer(splits=splits, inputCol="y_score", outputCol="rng",
-                   handleInvalid="keep").transform(d)
-    d = d.withColumn("rng", F.col("rng").cast("int"))
+    if len(splits) >= 3:
+        d = Bucketizer(splits=splits, inputCol="y_score", outputCol="rng",
+                       handleInvalid="keep").transform(d)
+        d = d.withColumn("rng", F.col("rng").cast("int"))
+    else:
+        d = d.withColumn("rng", F.lit(0))
     # running sums inside each range, highest scores first
     w = Window.partitionBy(*group, "rng").orderBy(F.desc("y_score")).rowsBetween(
         Window.unboundedPreceding, -1)
