@@ -60,6 +60,10 @@ def ranked_cumulative(pred: DataFrame, group: Sequence[str] = ("model",),
     # score ranges: boundaries at approximate quantiles of the distinct scores
     # (n_ranges values reach the driver, a fixed bound)
     probs = [i / n_ranges for i in range(1, n_ranges)]
+    if n_ranges > 1:
+        # materialise the distinct-score table once (shared checkpoint dir):
+        # the quantile job and the final job both read it, not its lineage
+        d = d.checkpoint(eager=True)
     qs = d.approxQuantile("y_score", probs, rel_err) if n_ranges > 1 else []
     splits = sorted(set(float(q) for q in qs))
     splits = [float("-inf")] + splits + [float("inf")]
