@@ -67,3 +67,9 @@ def day_of_week(ts: str | Column) -> Column:
 
 def is_weekend(ts: str | Column) -> Column:
     return F.dayofweek(_c(ts)).isin(1, 7).cast("int")
+
+
+def ntz_literal(ts: datetime) -> Column:
+    """A TIMESTAMP_NTZ literal for a naive datetime (no zone conversion on the
+    way, whatever the session or Python time zone)."""
+    return F.expr(f"TIMESTAMP_NTZ'{ts.isoformat(sep=' ')}'")

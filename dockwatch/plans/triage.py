@@ -15,7 +15,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dockwatch.functions.timeexpr import MINUTE_US, from_micros, ts_literal_micros
+from dockwatch.functions.timeexpr import MINUTE_US, from_micros, ntz_literal, ts_literal_micros
 from dockwatch.operators.rollup import reading_record, with_micros
 from dockwatch.plans.features import LAG_FEATURES, LONG_WINDOW_MIN, SHORT_WINDOW_MIN, feature_exprs
 from dockwatch.plans.scoring import score_frame, status_columns
@@ -32,8 +32,8 @@ class TriageError(Exception):
 
 def active_stations(readings: DataFrame, obs_ts: datetime, s: Settings) -> DataFrame:
     """Stations with a qualifying reading in [t - 15m, t], ordered."""
-    t = F.lit(obs_ts).cast("timestamp_ntz")
-    lo = F.lit(obs_ts).cast("timestamp_ntz") - F.expr(f"INTERVAL {ACTIVE_LOOKBACK_MIN} MINUTES")
+    t = ntz_literal(obs_ts)
+    lo = ntz_literal(obs_ts) - F.expr(f"INTERVAL {ACTIVE_LOOKBACK_MIN} MINUTES")
     return (readings.filter((F.col("avg_capacity") >= F.lit(s.min_capacity))
                             & F.col("window_start").between(lo, t))
             .select("station_id").distinct().orderBy("station_id"))
@@ -42,7 +42,7 @@ def active_stations(readings: DataFrame, obs_ts: datetime, s: Settings) -> DataF
 def instant_parts(readings: DataFrame, obs_ts: datetime, s: Settings) -> DataFrame:
     """Per station with any reading at or before t: candidate flag and parts."""
     t_us = ts_literal_micros(obs_ts)
-    t_lit = F.lit(obs_ts).cast("timestamp_ntz")
+    t_lit = ntz_literal(obs_ts)
     r = with_micros(readings.filter(F.col("window_start") <= t_lit))
     ts = F.col("ts_us")
     rec = reading_record()
@@ -126,7 +126,7 @@ def triage(readings: DataFrame, obs_ts: datetime, scorer, s: Settings | None = N
         F.count(F.lit(1)).alias("candidate_stations"),
         F.count(F.when(F.col("status") == STATUS_OK, 1)).alias("scored"),
         F.count(F.when(F.col("status") != STATUS_OK, 1)).alias("skipped"),
-    ).select(F.lit(obs_ts).cast("timestamp_ntz").alias("obs_ts"), "candidate_stations", "scored",
+    ).select(ntz_literal(obs_ts).alias("obs_ts"), "candidate_stations", "scored",
              "skipped", F.lit(top_n).alias("top_n"),
              F.lit(getattr(scorer, "name", None)).cast("string").alias("model_name"))
     return {"ranked": ranked, "skipped": skipped, "skip_reasons": reasons, "funnel": funnel,

@@ -11,7 +11,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from dockwatch.functions.timeexpr import MINUTE_US, from_micros, micros
+from dockwatch.functions.timeexpr import MINUTE_US, from_micros, micros, ntz_literal
 from dockwatch.operators.percentiles import percentiles_from_hist
 from dockwatch.operators.ranges import range_join
 from dockwatch.plans.dataset import bucket_parts, forward_counts
@@ -147,9 +147,9 @@ def inspect_dataset(dataset: DataFrame, station_id: str | None = None,
     if station_id is not None:
         d = d.filter(F.col("station_id") == station_id)
     if start is not None:
-        d = d.filter(F.col("obs_ts") >= F.lit(start).cast("timestamp_ntz"))
+        d = d.filter(F.col("obs_ts") >= ntz_literal(start))
     if end is not None:
-        d = d.filter(F.col("obs_ts") <= F.lit(end).cast("timestamp_ntz"))
+        d = d.filter(F.col("obs_ts") <= ntz_literal(end))
     return d
 
 

@@ -125,3 +125,13 @@ def test_percentiles_match_numpy(spark):
     got = percentiles_from_hist(df, "v", "c", [0.25, 0.5, 0.75, 0.9]).first()
     for p, name in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"), (0.9, "p90")):
         assert got[name] == pytest.approx(float(np.percentile(vals, p * 100)))
+
+
+def test_station_predicate_pushed_through_window(spark, readings, tmp_path):
+    from dockwatch.sources.readings import load_readings
+    readings.write.parquet(str(tmp_path / "r"))
+    r = load_readings(spark, str(tmp_path / "r"))
+    d = G.inspect_dataset(build_dataset(r, S10), "S1", BASE, BASE + timedelta(hours=1))
+    plan = d._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(station_id,S1)" in plan
+    assert d.count() == 5
