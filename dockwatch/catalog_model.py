@@ -19,13 +19,14 @@ _RUNS: dict[str, dict] = {}
 
 
 def _run(spark, d):
-    """One training run per input folder and process, shared by the queries."""
-    if d not in _RUNS:
+    """One training run per input folder and Spark application, shared by the queries."""
+    key = f"{spark.sparkContext.applicationId}:{d}"
+    if key not in _RUNS:
         ds = D.build_dataset(readings_for(spark, d), S)
         out = ensure_checkpoint_dir(spark).rstrip("/") + "/dockwatch-runs"
-        _RUNS[d] = TR.train_run(spark, ds, out, max_iter=QUERY_MAX_ITER, input_path=d)
-        _RUNS[d]["_out"] = out
-    return _RUNS[d]
+        _RUNS[key] = TR.train_run(spark, ds, out, max_iter=QUERY_MAX_ITER, input_path=d)
+        _RUNS[key]["_out"] = out
+    return _RUNS[key]
 
 
 @register("train_model")
