@@ -10,7 +10,7 @@ per-station query loop of a single-machine design disappears.
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,6 +22,8 @@ from dockwatch.plans.scoring import score_frame, status_columns
 from dockwatch.settings import DEFAULT_TOP_N, FEATURE_COLUMNS, MAX_TOP_N, STATUS_OK, Settings
 
 ACTIVE_LOOKBACK_MIN = 15
+# History scanned before the 24h window in the first triage pass (minutes).
+DEFAULT_LOOKBACK_MIN = 2 * 1440
 
 
 class TriageError(Exception):
@@ -39,11 +41,40 @@ def active_stations(readings: DataFrame, obs_ts: datetime, s: Settings) -> DataF
             .select("station_id").distinct().orderBy("station_id"))
 
 
-def instant_parts(readings: DataFrame, obs_ts: datetime, s: Settings) -> DataFrame:
-    """Per station with any reading at or before t: candidate flag and parts."""
+def instant_parts(readings: DataFrame, obs_ts: datetime, s: Settings,
+                  lookback_min: int | None = DEFAULT_LOOKBACK_MIN) -> DataFrame:
+    """Per station with a reading in the scanned range: candidate flag and parts.
+
+    Only ``[t - 24h - lookback, t]`` is scanned (pushed to the Parquet scan).
+    As-of look-ups are unbounded, so candidates whose snapshot or a lag found
+    nothing in that range get the newest older reading from a second, narrower
+    pass (stations semi-joined); the second pass runs only when such a
+    candidate exists. ``lookback_min=None`` scans all history in one pass."""
+    t_lit = ntz_literal(obs_ts)
+    r = readings.filter(F.col("window_start") <= t_lit)
+    if lookback_min is None:
+        return _instant_aggs(r, obs_ts, s)
+    lo = ntz_literal(obs_ts - timedelta(minutes=LONG_WINDOW_MIN + lookback_min))
+    parts = _instant_aggs(r.filter(F.col("window_start") >= lo), obs_ts, s).cache()
+    rec_cols = ["snap"] + [f"asof_{o}" for o in LAG_FEATURES]
+    missing = F.lit(False)
+    for c in rec_cols:
+        missing = missing | F.col(c).isNull()
+    need = parts.filter((F.col("candidate") == 1) & missing).select("station_id")
+    if need.limit(1).count() == 0:
+        return parts
+    old = (with_micros(readings.filter(F.col("window_start") < lo))
+           .join(need, "station_id", "left_semi")
+           .groupBy("station_id").agg(F.max(reading_record()).alias("__old")))
+    j = parts.join(old, "station_id", "left")
+    return j.select(*[F.greatest(F.col(c), F.col("__old")).alias(c) if c in rec_cols else F.col(c)
+                      for c in parts.columns])
+
+
+def _instant_aggs(readings: DataFrame, obs_ts: datetime, s: Settings) -> DataFrame:
     t_us = ts_literal_micros(obs_ts)
     t_lit = ntz_literal(obs_ts)
-    r = with_micros(readings.filter(F.col("window_start") <= t_lit))
+    r = with_micros(readings)
     ts = F.col("ts_us")
     rec = reading_record()
     bikes, ratio = F.col("avg_bikes_available"), F.col("avg_availability_ratio")
@@ -73,9 +104,10 @@ def instant_parts(readings: DataFrame, obs_ts: datetime, s: Settings) -> DataFra
     return r.groupBy("station_id").agg(*aggs).withColumn("obs_ts", t_lit)
 
 
-def candidate_features(readings: DataFrame, obs_ts: datetime, s: Settings) -> DataFrame:
+def candidate_features(readings: DataFrame, obs_ts: datetime, s: Settings,
+                       lookback_min: int | None = DEFAULT_LOOKBACK_MIN) -> DataFrame:
     """Candidates with features, snapshot_source_ts and status."""
-    p = instant_parts(readings, obs_ts, s).filter(F.col("candidate") == 1)
+    p = instant_parts(readings, obs_ts, s, lookback_min).filter(F.col("candidate") == 1)
     ex = feature_exprs()
     return p.select(
         "station_id", "obs_ts",

@@ -79,11 +79,16 @@ def test_active_stations_sorted(readings):
     assert [r[0] for r in active_stations(readings, T930, Settings()).collect()] == ["S1", "S2"]
 
 
-@pytest.mark.parametrize("t", [datetime(2024, 3, 2, 6, 0), datetime(2024, 3, 2, 13, 7, 41),
-                               datetime(2024, 3, 3, 23, 59)])
-def test_plan_c_equals_plan_r(spark, random_readings, t):
+@pytest.mark.parametrize("t,lookback", [
+    (datetime(2024, 3, 2, 6, 0), 2880), (datetime(2024, 3, 2, 13, 7, 41), 2880),
+    (datetime(2024, 3, 3, 23, 59), 2880), (datetime(2024, 3, 3, 23, 59), None),
+    (datetime(2024, 3, 3, 23, 59), 0), (datetime(2024, 3, 2, 13, 7, 41), 0)])
+def test_plan_c_equals_plan_r(spark, random_readings, t, lookback):
+    """Bounded first pass (with the older-history fallback), one full pass and a
+    zero look-back (fallback for every lag at 24h) all equal plan R."""
     s = Settings()
-    c = {r["station_id"]: r.asDict() for r in candidate_features(random_readings, t, s).collect()}
+    c = {r["station_id"]: r.asDict()
+         for r in candidate_features(random_readings, t, s, lookback).collect()}
     req = spark.createDataFrame([(k, t) for k in c], "station_id string, obs_ts timestamp_ntz")
     r = {x["station_id"]: x.asDict() for x in reconstruct_features(random_readings, req, s).collect()}
     assert c.keys() == r.keys()
