@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -15,7 +16,7 @@ from dockwatch.llm.shared import Scratch, byte_slices, column, numbers
 
 #: Bytes of text tokenised at a time, and distinct words a worker remembers.
 SLICE_BYTES = 8 << 20
-MEMO_WORDS = 400_000
+MEMO_WORDS = 800_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PLACED = PIECES + ", sequence_id long, offset long"
@@ -41,7 +42,11 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.memo: dict[str, np.ndarray] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.memo: dict[str, int] = {}
+        self.ids, self.first = array("I"), array("q", [0])
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and the number of ids of each."""
@@ -51,19 +56,18 @@ class WordTokenizer:
         index = words.indices.to_numpy()
         distinct = words.dictionary.to_pylist()
         if len(self.memo) > MEMO_WORDS:
-            self.memo.clear()
+            self._forget()
         new = [w for w in distinct if w not in self.memo]
         for w, e in zip(new, self.tok.encode_batch_fast(new, add_special_tokens=False)):
-            self.memo[w] = np.array(e.ids, np.uint32)
-        ids = [self.memo[w] for w in distinct]
-        size = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.concatenate(ids) if ids else np.zeros(0, np.uint32)
-        first = np.cumsum(size) - size
-        n = size[index]
+            self.memo[w] = len(self.memo)
+            self.ids.extend(e.ids)
+            self.first.append(len(self.ids))
+        known, first = np.array(self.ids, np.uint32), np.array(self.first, np.int64)
+        place = np.fromiter(map(self.memo.__getitem__, distinct), np.int64, len(distinct))[index]
+        n = first[place + 1] - first[place]
         ends = np.concatenate([[0], np.cumsum(n)])
-        at = np.repeat(first[index] - ends[:-1], n) + np.arange(ends[-1])
-        bounds = ends[off - off[0]]
-        return flat[at], np.diff(bounds)
+        at = np.repeat(first[place] - ends[:-1], n) + np.arange(ends[-1])
+        return known[at], np.diff(ends[off - off[0]])
 
 
 _TOKENIZERS: dict[str, WordTokenizer] = {}
