@@ -5,14 +5,23 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from dockwatch.llm import packing
+from dockwatch.llm import embedding_dups, packing, topk
 from dockwatch.llm.shared import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 WORD_BPE = "word_bpe_49k.json"
 
 
+def op2_exact_top_k(spark: SparkSession, d: str) -> DataFrame:
+    return topk.exact_top_k(read_table(spark, d, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op4_embedding_near_dups(spark: SparkSession, d: str) -> DataFrame:
+    return embedding_dups.near_duplicates(read_table(spark, d, "embeddings"))
+
+
 def op9_best_fit_packing(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, d, "documents"), lambda: packing.tokenizer_path(WORD_BPE))
 
@@ -21,5 +30,21 @@ def queries() -> dict[str, Query]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
 
+OP2_SQL = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, x -> CAST(floor(64 * CAST(x AS DOUBLE)) AS DOUBLE)) AS q
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+    SELECT a.vec_id AS query_id, b.vec_id, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+    FROM v a JOIN v b ON a.vec_id % 20 = 0 AND a.vec_id <> b.vec_id
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id, score
+FROM s QUALIFY rank <= 20
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_exact_top_k": OP2_SQL}
