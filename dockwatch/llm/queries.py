@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dockwatch.llm import embedding_dups, packing, topk
+from dockwatch.llm import embedding_dups, jaccard, packing, topk
 from dockwatch.llm.shared import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,10 @@ def op4_embedding_near_dups(spark: SparkSession, d: str) -> DataFrame:
     return embedding_dups.near_duplicates(read_table(spark, d, "embeddings"))
 
 
+def op8_ngram_jaccard_join(spark: SparkSession, d: str) -> DataFrame:
+    return jaccard.jaccard_links(read_table(spark, d, "documents"))
+
+
 def op9_best_fit_packing(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, d, "documents"), lambda: packing.tokenizer_path(WORD_BPE))
 
