@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dockwatch.llm import embedding_dups, jaccard, packing, topk
+from dockwatch.llm import embedding_dups, jaccard, packing, quality, topk, toxicity
 from dockwatch.llm.shared import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,10 +18,18 @@ def op2_exact_top_k(spark: SparkSession, d: str) -> DataFrame:
     return topk.exact_top_k(read_table(spark, d, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op3_toxicity(spark: SparkSession, d: str) -> DataFrame:
+    return toxicity.score_documents(read_table(spark, d, "documents"), read_table(spark, d, "labels"))
+
+
 def op4_embedding_near_dups(spark: SparkSession, d: str) -> DataFrame:
     return embedding_dups.near_duplicates(read_table(spark, d, "embeddings"))
 
 
+def op5_quality_classifier(spark: SparkSession, d: str) -> DataFrame:
+    return quality.score_documents(read_table(spark, d, "documents"), read_table(spark, d, "labels"))
+
+
 def op8_ngram_jaccard_join(spark: SparkSession, d: str) -> DataFrame:
     return jaccard.jaccard_links(read_table(spark, d, "documents"))
 
