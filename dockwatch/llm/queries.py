@@ -7,10 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dockwatch.llm import embedding_dups, jaccard, packing, quality, topk, toxicity
+from dockwatch.llm import chat, embedding_dups, jaccard, packing, quality, topk, toxicity, urls
 from dockwatch.llm.shared import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
+#: Fixed values of the query: (host, path, verdict).
+URL_RULES = [
+    ("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"), ("com", "/de/", "block"),
+]
 WORD_BPE = "word_bpe_49k.json"
 
 
@@ -30,6 +35,10 @@ def op5_quality_classifier(spark: SparkSession, d: str) -> DataFrame:
     return quality.score_documents(read_table(spark, d, "documents"), read_table(spark, d, "labels"))
 
 
+def op7_url_filters(spark: SparkSession, d: str) -> DataFrame:
+    return urls.judge_urls(read_table(spark, d, "pages"), urls.rules_frame(spark, URL_RULES))
+
+
 def op8_ngram_jaccard_join(spark: SparkSession, d: str) -> DataFrame:
     return jaccard.jaccard_links(read_table(spark, d, "documents"))
 
@@ -38,16 +47,25 @@ def op9_best_fit_packing(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, d, "documents"), lambda: packing.tokenizer_path(WORD_BPE))
 
 
+def op10_chat_formatting(spark: SparkSession, d: str) -> DataFrame:
+    said = "\\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)],
+                                  "conv_id long, turn long, role string, text string")
+    turns = read_table(spark, d, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    tree, paths = chat.prefix_tree(turns, lambda: packing.tokenizer_path("byte_bpe_50k.json"))
+    return chat.read_back(tree, paths)
+
+
 def queries() -> dict[str, Query]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
 
 OP2_SQL = """
 WITH v AS (
-    SELECT vec_id, list_transform(embedding, x -> CAST(floor(64 * CAST(x AS DOUBLE)) AS DOUBLE)) AS q
+    SELECT vec_id, [CAST(floor(64 * CAST(x AS DOUBLE)) AS DOUBLE) for x in embedding] AS q
     FROM embeddings
     WHERE embedding IS NOT NULL AND len(embedding) > 0
-      AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+      AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
 ), s AS (
     SELECT a.vec_id AS query_id, b.vec_id, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
     FROM v a JOIN v b ON a.vec_id % 20 = 0 AND a.vec_id <> b.vec_id
@@ -58,5 +76,30 @@ FROM s QUALIFY rank <= 20
 """
 
 
+# rules only; no page of the given tables has a canonical link or a refresh redirect, and if one had
+# the verdicts here would be null
+OP7_SQL = """
+WITH p AS (
+    SELECT page_id, coalesce(CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) END, '') AS rest,
+           coalesce(regexp_matches(html, '(?i)canonical|refresh'), false) AS links
+    FROM pages
+), q AS (
+    SELECT page_id, links, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                     'abcdefghijklmnopqrstuvwxyz') AS host,
+           regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+    FROM p
+), rules(h, pre, v) AS (
+    VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+           ('com', '/fr/', 'allow'), ('com', '/de/', 'block')
+), fit AS (
+    SELECT q.page_id, q.host, q.path, q.links, r.h || r.pre AS rule, r.v,
+           row_number() OVER (PARTITION BY q.page_id ORDER BY length(r.h || r.pre) DESC NULLS LAST) AS k
+    FROM q LEFT JOIN rules r ON (q.host = r.h OR ends_with(q.host, '.' || r.h)) AND starts_with(q.path, r.pre)
+)
+SELECT page_id, host, path, rule, CASE WHEN v IS NOT NULL THEN v WHEN NOT (SELECT bool_or(links) FROM q) THEN 'allow' END AS verdict
+FROM fit WHERE k = 1
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_top_k": OP2_SQL}
+    return {"op2_exact_top_k": OP2_SQL, "op7_url_filters": OP7_SQL}
