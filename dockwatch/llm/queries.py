@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dockwatch.llm import chat, embedding_dups, jaccard, packing, quality, topk, toxicity, urls
+from dockwatch.llm import chat, embedding_dups, jaccard, ngram_lm, packing, pieces, quality, topk, toxicity, urls
 from dockwatch.llm.shared import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,12 @@ URL_RULES = [
 WORD_BPE = "word_bpe_49k.json"
 
 
+def op1_sentencepiece(spark: SparkSession, d: str) -> DataFrame:
+    model = pieces.Model.load(packing.tokenizer_path("piece_bpe_32k.model"))
+    ids = pieces.encode(read_table(spark, d, "documents"), model)
+    return ids.withColumn("n_ids", F.size("ids"))
+
+
 def op2_exact_top_k(spark: SparkSession, d: str) -> DataFrame:
     return topk.exact_top_k(read_table(spark, d, "embeddings"), F.col("vec_id") % 20 == 0)
 
@@ -35,6 +41,13 @@ def op5_quality_classifier(spark: SparkSession, d: str) -> DataFrame:
     return quality.score_documents(read_table(spark, d, "documents"), read_table(spark, d, "labels"))
 
 
+def op6_lm_scoring(spark: SparkSession, d: str) -> DataFrame:
+    s = ngram_lm.score_documents(read_table(spark, d, "documents"))
+    # sums differ in the last digits with the order of addition
+    return s.select("doc_id", "n_words", F.round("log_score", 4).alias("log_score"),
+                    F.round("mean_log_score", 6).alias("mean_log_score"))
+
+
 def op7_url_filters(spark: SparkSession, d: str) -> DataFrame:
     return urls.judge_urls(read_table(spark, d, "pages"), urls.rules_frame(spark, URL_RULES))
 
@@ -101,5 +114,25 @@ FROM fit WHERE k = 1
 """
 
 
+OP6_SQL = """
+WITH w AS (
+    SELECT doc_id, [x for x in regexp_split_to_array(coalesce(text, ''), '\\s+') if x <> ''] AS ws FROM documents
+), u AS (
+    SELECT x, count(*) AS n FROM (SELECT unnest(ws) AS x FROM w) GROUP BY x
+), g AS (
+    SELECT doc_id, i, ws[i - 1] AS v, ws[i] AS x FROM (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS i FROM w)
+), b AS (
+    SELECT v, x, count(*) AS n FROM g WHERE i > 1 GROUP BY v, x
+), s AS (
+    SELECT g.doc_id, CASE WHEN g.i = 1 THEN ln(ux.n / (SELECT sum(n) FROM u)::DOUBLE) ELSE ln(b.n / uv.n::DOUBLE) END AS s
+    FROM g LEFT JOIN u ux ON g.x = ux.x LEFT JOIN u uv ON g.v = uv.x LEFT JOIN b ON g.i > 1 AND g.v = b.v AND g.x = b.x
+), t AS (
+    SELECT doc_id, sum(len(ws))::BIGINT AS n_words FROM w GROUP BY doc_id
+)
+SELECT t.doc_id, t.n_words, round(coalesce(sum(s.s), 0), 4) AS log_score, round(sum(s.s) / nullif(t.n_words, 0), 6) AS mean_log_score
+FROM t LEFT JOIN s ON t.doc_id = s.doc_id GROUP BY t.doc_id, t.n_words
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_top_k": OP2_SQL, "op7_url_filters": OP7_SQL}
+    return {"op2_exact_top_k": OP2_SQL, "op6_lm_scoring": OP6_SQL, "op7_url_filters": OP7_SQL}
