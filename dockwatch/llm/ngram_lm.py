@@ -9,13 +9,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dockwatch.llm.jaccard import _mix, word_hashes
+from dockwatch.llm.jaccard import _mix, _row_slices, word_hashes
 from dockwatch.llm.shared import Scratch, column, list_values
 
 #: Words whose counts every task holds: the most frequent ones, at most this many (16 bytes each).
 FREQUENT = 1 << 16
 #: N-grams a hash partition has room for.
-PART_GRAMS = 8_000_000
+PART_GRAMS = 4_000_000
+#: Words a task packs at a time.
+WORDS_AT_ONCE = 1 << 19
 _FIRST, _SECOND = np.uint64(0x9E6C63D0876A9A47), np.uint64(0xD1342543DE82EF95)
 _NO_ID = -(1 << 63)
 PACKED = "part int, docs binary, runs binary, a binary, b binary"
@@ -42,6 +44,12 @@ def _pack(part: np.ndarray, doc: np.ndarray, cols: list[np.ndarray], schema: lis
                                       names=schema)
 
 
+def _slices(batches):
+    for b in batches:
+        for i, j in _row_slices(b.column("words").offsets.to_numpy(), WORDS_AT_ONCE):
+            yield b.slice(i, j - i)
+
+
 def _words(b: pa.RecordBatch):
     """Word hashes, and for each word: its document's id, whether it begins and whether it ends the document."""
     val, off = list_values(b.column("words"))
@@ -57,7 +65,7 @@ def _count_rows(parts: int, scored: bool):
     """Bigrams of the corpus, packed by hash partition; where the corpus is scored itself, with their documents."""
 
     def run(batches):
-        for b in batches:
+        for b in _slices(batches):
             w, doc, first, _ = _words(b)
             at = np.flatnonzero(~first)
             g = _bigrams(w[at - 1], w[at])
@@ -71,7 +79,7 @@ def _score_rows(parts: int):
     """Bigrams of documents outside the corpus: both words, as an unseen pair asks for its second word alone."""
 
     def run(batches):
-        for b in batches:
+        for b in _slices(batches):
             w, doc, first, _ = _words(b)
             at = np.flatnonzero(~first)
             g = _bigrams(w[at - 1], w[at])
@@ -130,7 +138,7 @@ def _own_asks(total: int, closed: bool):
     corpus the count of every context."""
 
     def run(batches):
-        for b in batches:
+        for b in _slices(batches):
             w, doc, first, last = _words(b)
             coef = first.astype(np.int64) - (~last if closed else 0)
             use = coef != 0
