@@ -15,7 +15,7 @@ from dockwatch.llm.shared import Scratch, column, list_values
 #: Words whose counts every task holds: the most frequent ones, at most this many (16 bytes each).
 FREQUENT = 1 << 16
 #: N-grams a hash partition has room for.
-PART_GRAMS = 4_000_000
+PART_GRAMS = 2_000_000
 #: Words a task packs at a time.
 WORDS_AT_ONCE = 1 << 19
 _FIRST, _SECOND = np.uint64(0x9E6C63D0876A9A47), np.uint64(0xD1342543DE82EF95)
@@ -235,8 +235,10 @@ def score_documents(docs: DataFrame, corpus: DataFrame | None = None, alpha: flo
     else:
         asked = src.mapInArrow(_score_rows(parts), PACKED)
         seen = pairs.groupBy("part").cogroup(asked.groupBy("part")).applyInArrow(_seen_in_corpus(alpha, total), ASKED)
-    asks = src.mapInArrow(_own_asks(total, closed), ASKED).union(seen)
-    settled = scratch.table(asks.mapInArrow(_frequent_first(parts, known, count), ASKED))
+    own, settle = _own_asks(total, closed), _frequent_first(parts, known, count)
+    asks = src.mapInArrow(lambda batches: settle(own(batches)), ASKED)
+    # in a closed corpus the pairs ask nothing more
+    settled = scratch.table(asks.union(seen if closed else seen.mapInArrow(settle, ASKED)))
     rare = table.select(F.expr(f"cast(pmod(w % {parts} + if(w < 0, {(1 << 64) % parts}, 0), {parts}) as int)").alias("part"), "w", "n")
     answers = rare.groupBy("part").cogroup(settled.where("part >= 0").groupBy("part")).applyInArrow(
         _answer, "doc_id long, s double")
