@@ -14,8 +14,9 @@ from dockwatch.llm.shared import Scratch, column, list_values
 
 #: Words whose counts every task holds: the most frequent ones, at most this many (16 bytes each).
 FREQUENT = 1 << 16
-#: N-grams a hash partition has room for.
-PART_GRAMS = 2_000_000
+#: N-grams a hash partition has room for. A document gets a sum from each partition it has n-grams in,
+#: so partitions are as large as a task's memory allows.
+PART_GRAMS = 6_000_000
 #: Words a task packs at a time.
 WORDS_AT_ONCE = 1 << 19
 _FIRST, _SECOND = np.uint64(0x9E6C63D0876A9A47), np.uint64(0xD1342543DE82EF95)
@@ -90,7 +91,12 @@ def _score_rows(parts: int):
 
 
 def _joined(t: pa.Table, name: str, kind) -> np.ndarray:
-    return np.frombuffer(b"".join(column(t, name).to_pylist()), kind)
+    """The bytes of all rows of a binary column as one array, without a copy."""
+    arr = column(t, name)
+    off = np.frombuffer(arr.buffers()[1], np.int32)[arr.offset:arr.offset + len(arr) + 1]
+    if not len(arr) or off[0] == off[-1]:
+        return np.zeros(0, kind)
+    return np.frombuffer(arr.buffers()[2], np.uint8)[off[0]:off[-1]].view(kind)
 
 
 ASKED = "part int, docs binary, runs binary, a binary, b binary, s binary"
@@ -110,9 +116,15 @@ def _sums(runs: np.ndarray, values: np.ndarray) -> np.ndarray:
 def _seen_in_own(t: pa.Table) -> pa.Table:
     """Count table of one hash partition joined to the same partition's bigrams: every one is seen."""
     g, runs = _joined(t, "a", np.uint64), _joined(t, "runs", np.int32)
-    _, inv, n = np.unique(g, return_inverse=True, return_counts=True)
+    order = np.argsort(g)
+    line = g[order]
+    edges = np.append(np.flatnonzero(np.append(True, line[1:] != line[:-1])) if len(g) else [], len(g)).astype(np.int64)
+    del line
+    n = np.diff(edges)
+    log_count = np.empty(len(g), np.float64)
+    log_count[order] = np.repeat(np.log(n), n)
     none = np.zeros(0, np.uint64)
-    return _result(-1, _joined(t, "docs", np.int64), np.zeros(len(runs)), none, none, _sums(runs, np.log(n)[inv]))
+    return _result(-1, _joined(t, "docs", np.int64), np.zeros(len(runs)), none, none, _sums(runs, log_count))
 
 
 def _seen_in_corpus(alpha: float, total: int):
@@ -228,6 +240,7 @@ def score_documents(docs: DataFrame, corpus: DataFrame | None = None, alpha: flo
     order = np.argsort(known)
     known, count = known[order], top.column("n").to_numpy()[order]
     parts = max(12, -(-total // part_grams))
+    rare_parts = max(12, -(-(total - int(count.sum())) // part_grams))
 
     pairs = base.mapInArrow(_count_rows(parts, closed), PACKED)
     if closed:
@@ -235,11 +248,11 @@ def score_documents(docs: DataFrame, corpus: DataFrame | None = None, alpha: flo
     else:
         asked = src.mapInArrow(_score_rows(parts), PACKED)
         seen = pairs.groupBy("part").cogroup(asked.groupBy("part")).applyInArrow(_seen_in_corpus(alpha, total), ASKED)
-    own, settle = _own_asks(total, closed), _frequent_first(parts, known, count)
+    own, settle = _own_asks(total, closed), _frequent_first(rare_parts, known, count)
     asks = src.mapInArrow(lambda batches: settle(own(batches)), ASKED)
     # in a closed corpus the pairs ask nothing more
     settled = scratch.table(asks.union(seen if closed else seen.mapInArrow(settle, ASKED)))
-    rare = table.select(F.expr(f"cast(pmod(w % {parts} + if(w < 0, {(1 << 64) % parts}, 0), {parts}) as int)").alias("part"), "w", "n")
+    rare = table.select(F.expr(f"cast(pmod(w % {rare_parts} + if(w < 0, {(1 << 64) % rare_parts}, 0), {rare_parts}) as int)").alias("part"), "w", "n")
     answers = rare.groupBy("part").cogroup(settled.where("part >= 0").groupBy("part")).applyInArrow(
         _answer, "doc_id long, s double")
     sums = settled.where("part < 0").mapInArrow(_sums_of, "doc_id long, s double").union(answers)
