@@ -23,8 +23,8 @@ def quantised(vec: str, scale: int) -> Column:
     return F.transform(F.col(vec), lambda x: F.floor(F.lit(scale) * x.cast("double")).cast("long"))
 
 
-def _int_matrix(t: pa.Table, dim: int) -> np.ndarray:
-    return list_values(column(t, "q"))[0].reshape(-1, dim)
+def _int_matrix(t: pa.Table, name: str, dim: int) -> np.ndarray:
+    return list_values(column(t, name))[0].reshape(-1, dim)
 
 
 def _products(q: np.ndarray, c: np.ndarray) -> np.ndarray:
@@ -40,9 +40,9 @@ def _tile(k: int, step: int):
         out = []
         if left.num_rows and right.num_rows:
             dim = len(column(left, "q")[0])
-            qid, cid = numbers(left, "vec_id"), numbers(right, "vec_id")
+            qid, cid = numbers(left, "vec_id"), numbers(right, "cand_id")
             order = np.argsort(cid, kind="stable")  # columns by id: the first of equal scores wins
-            cid, c, q = cid[order], _int_matrix(right, dim)[order], _int_matrix(left, dim)
+            cid, c, q = cid[order], _int_matrix(right, "cand", dim)[order], _int_matrix(left, "q", dim)
             for a in range(0, len(qid), step):
                 s = _products(q[a:a + step], c)
                 for i, row in enumerate(s):
@@ -86,7 +86,8 @@ def exact_top_k(rows: DataFrame, is_query: Column, k: int = 20, scale: int = 64,
     every = lambda m: F.explode(F.sequence(F.lit(0), F.lit(m - 1)).cast("array<long>"))
     dim = F.size("q").alias("dim")
     left = vecs.where("is_query").select("vec_id", "q", dim, deal("tile", tiles).alias("tile"), every(shards).alias("shard"))
-    right = vecs.select("vec_id", "q", dim, deal("shard", shards).alias("shard"), every(tiles).alias("tile"))
+    # own names: the two sides of a cogroup must not share columns of one source
+    right = vecs.select(F.col("vec_id").alias("cand_id"), F.col("q").alias("cand"), dim, deal("shard", shards).alias("shard"), every(tiles).alias("tile"))
     key = ["dim", "tile", "shard"]
     part = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(
         _tile(k, 256), "query_id long, vec_id long, score long")
