@@ -62,17 +62,17 @@ class PuModel:
     """An additive model: each feature is bent at a few quantiles, the terms are summed; the score is the
     probability of the positive class."""
 
-    def __init__(self, knots: np.ndarray, scale: np.ndarray, weights: np.ndarray):
-        self.knots, self.scale, self.weights = knots, scale, weights
+    def __init__(self, mean: np.ndarray, scale: np.ndarray, knots: np.ndarray, weights: np.ndarray):
+        self.mean, self.scale, self.knots, self.weights = mean, scale, knots, weights
 
     @staticmethod
-    def _terms(x, knots, scale):
-        x = np.clip(x / scale, -1e3, 1e3)
-        bent = [np.maximum(0, x - k / scale) for k in knots]
+    def _terms(x, mean, scale, knots):
+        x = np.clip((x - mean) / scale, -20, 20)
+        bent = [np.maximum(0, x - (k - mean) / scale) for k in knots]
         return np.concatenate([np.ones((len(x), 1)), x, *bent], axis=1)
 
     def score(self, x: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self._terms(x, self.knots, self.scale) @ self.weights, -30, 30)))
+        return 1 / (1 + np.exp(-np.clip(self._terms(x, self.mean, self.scale, self.knots) @ self.weights, -30, 30)))
 
     @classmethod
     def fit(cls, positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = 1500, rate: float = 0.03,
@@ -80,26 +80,28 @@ class PuModel:
         """Minimise the non-negative unbiased risk
         ``prior * E_p[l(g, +)] + max(0, E_u[l(g, -)] - prior * E_p[l(g, -)])`` with logistic loss.
 
-        Where the second part, the risk on the negatives, falls below zero, the step goes up
-        that part's gradient instead of fitting it further.
+        Where the second part, the risk on the negatives, falls below zero, it is held at zero and the step
+        follows the first part alone. Steps shrink, and the weights of the last half are averaged.
         """
         both = np.concatenate([positive, unlabelled])
-        scale = np.maximum(both.std(axis=0), 1e-6)
+        mean, scale = both.mean(axis=0), both.std(axis=0)
+        scale = np.where(scale > 1e-9, scale, np.inf)  # a feature that never differs says nothing
         knots = np.quantile(both, np.linspace(0, 1, HINGES + 2)[1:-1] ** 0.5, axis=0)
-        p, u = cls._terms(positive, knots, scale), cls._terms(unlabelled, knots, scale)
+        p, u = (cls._terms(z, mean, scale, knots) for z in (positive, unlabelled))
         w = np.zeros(p.shape[1])
         w[0] = np.log(prior / (1 - prior))
-        m, v = np.zeros_like(w), np.zeros_like(w)
+        m, v, mid = np.zeros_like(w), np.zeros_like(w), np.zeros_like(w)
         sig = lambda z: 1 / (1 + np.exp(-np.clip(z, -30, 30)))
         for t in range(1, steps + 1):
             gp, gu = p @ w, u @ w
             neg = np.logaddexp(0, gu).mean() - prior * np.logaddexp(0, gp).mean()
             d_pos = -prior * (p.T @ sig(-gp)) / len(p)
             d_neg = (u.T @ sig(gu)) / len(u) - prior * (p.T @ sig(gp)) / len(p)
-            g = (d_pos + d_neg if neg >= 0 else -d_neg) + decay * w
+            g = (d_pos + d_neg if neg >= 0 else d_pos) + decay * w
             m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
-            w = w - rate * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
-        return cls(knots, scale, w)
+            w = w - rate / (1 + t / 300) * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
+            mid += w / (steps - steps // 2) if t > steps // 2 else 0
+        return cls(mean, scale, knots, mid)
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> PuModel | None:
@@ -118,9 +120,9 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> PuModel
     sample = docs.select("doc_id", "text").join(F.broadcast(wanted), "doc_id")
     x = with_features(sample, "text", features, ["kind"]).toArrow()  # at most 2 * rows feature vectors
     kind = x.column("kind").to_numpy()
-    val = np.array(x.column(FEATURES).to_pylist(), np.float64).reshape(len(kind), -1)
     if not (kind == 1).any() or not (kind == 0).any():
         return None
+    val = np.array(x.column(FEATURES).to_pylist(), np.float64)
     return PuModel.fit(val[kind == 1], val[kind == 0], min(max(n1 / n, 0.01), 0.99))
 
 
