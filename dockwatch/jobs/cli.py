@@ -41,8 +41,10 @@ def _settings(args) -> Settings:
     return s
 
 
-def _show(df, n=50):
-    df.show(n, truncate=False)
+def _show(df):
+    """Every row as a JSON line, fetched one partition at a time."""
+    for row in df.toLocalIterator():
+        print(json.dumps(row.asDict(recursive=True), default=str))
 
 
 def main(argv=None) -> int:
@@ -127,10 +129,10 @@ def main(argv=None) -> int:
             _show(G.station_capacity(r.filter(F.col("station_id") == args.station)))
             return 0
         _show(rows.orderBy("obs_ts"))
-        _show(G.inspect_raw_around(r, rows).orderBy("obs_ts", "window_start"), 500)
+        _show(G.inspect_raw_around(r, rows).orderBy("obs_ts", "window_start"))
         fwd = G.inspect_forward_rows(r, rows, s)
         _show(G.label_justification(fwd, s).orderBy("obs_ts"))
-        _show(G.inspect_forward_trim(fwd).orderBy("obs_ts", "window_start"), 500)
+        _show(G.inspect_forward_trim(fwd).orderBy("obs_ts", "window_start"))
         return 0
     if args.cmd == "train":
         from dockwatch.ml.training import train_run

@@ -8,6 +8,7 @@ maximum run id, not a file modification time.
 from __future__ import annotations
 
 import json
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,7 @@ from dockwatch.reports.validation import dataset_summary
 
 def run_id(now: datetime | None = None) -> str:
     now = now or datetime.now(timezone.utc)
-    return now.strftime("%Y%m%d_%H%M%S")
+    return f"{now:%Y%m%d_%H%M%S_%f}_{uuid.uuid4().hex[:8]}"  # runs of one second stay apart
 
 
 def write_dataset(dataset: DataFrame, out_dir: str, spark: SparkSession | None = None,
