@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import heapq
+import uuid
 from dataclasses import dataclass
 
 import numpy as np
@@ -17,8 +18,11 @@ SPACE = "▁"
 MOST_PIECES = 1 << 20
 #: Units of more characters than this are encoded one by one instead of by the lattice.
 LONG = 48
-#: Bytes of text whose documents share a dictionary of units.
-BUCKET_BYTES = 32 << 20
+#: Bytes of units whose documents share a dictionary.
+BLOCK_BYTES = 48 << 20
+#: Units (counted once per block) of a partition of the lattice.
+PART_UNITS = 200_000
+NO_ID = -(1 << 63)
 
 
 @dataclass
@@ -68,19 +72,21 @@ def units(text: str, model: Model) -> Column:
 
 
 def lattice(words: DataFrame, pieces: DataFrame, longest: int) -> DataFrame:
-    """(unit, n, edges): the substrings of each unit that are pieces, as (start, stop, id, score). Every substring
-    of at most ``longest`` characters is exploded and meets the piece table by an equi-join."""
+    """(h, unit, n, edges): the substrings of each unit that are pieces, as (start, stop, id, score). Every substring
+    of at most ``longest`` characters is exploded and meets the piece table by an equi-join. ``words`` holds distinct
+    units and their hash ``h``; dealt by ``h``, the edges are grouped without another shuffle."""
     n = F.length("unit")
     cuts = F.flatten(F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.transform(
         F.sequence(F.lit(1), F.least(F.lit(longest), n - i)),
         lambda k: F.struct(i.alias("start"), (i + k).alias("stop")))))
-    each = words.select("unit", F.explode(cuts).alias("c")).select(
-        "unit", "c.start", "c.stop", F.substring(F.col("unit"), F.col("c.start") + 1, F.col("c.stop") - F.col("c.start")).alias("piece"))
+    # the empty cut keeps a unit without any piece
+    cuts = F.concat(F.array(F.struct(F.lit(0).alias("start"), F.lit(0).alias("stop"))), cuts)
+    each = words.select("h", "unit", F.explode(cuts).alias("c")).select(
+        "h", "unit", "c.start", "c.stop", F.substring(F.col("unit"), F.col("c.start") + 1, F.col("c.stop") - F.col("c.start")).alias("piece"))
+    met = each.join(F.broadcast(pieces), "piece", "left").where("id is not null or stop = 0")
     edge = F.struct("start", "stop", "id", "score")
-    # an edge for every unit, also for one without any piece
-    met = each.join(F.broadcast(pieces), "piece", "left").groupBy("unit").agg(
-        F.collect_list(F.when(F.col("id").isNotNull(), edge)).alias("edges"))
-    return met.withColumn("n", F.length("unit"))
+    return met.groupBy("h", "unit").agg(F.collect_list(F.when(F.col("stop") > 0, edge)).alias("edges")
+                                        ).withColumn("n", F.length("unit"))
 
 
 def _key(start: Column, stop: Column) -> Column:
@@ -93,19 +99,25 @@ def _bind(value: Column, use) -> Column:
 
 
 def merged_bounds(edges: str, n: str) -> Column:
-    """Boundaries after merging, again and again, the adjacent pair of the best score (leftmost of equals)."""
-    score = F.map_from_entries(F.transform(F.filter(edges, lambda e: e["stop"] - e["start"] > 1),
-                                           lambda e: F.struct(_key(e["start"], e["stop"]), -e["score"])))
-
-    def step(b, score):
-        at = F.transform(F.sequence(F.lit(1), F.size(b) - 2), lambda k: F.struct(
-            F.try_element_at(score, _key(F.get(b, k - 1), F.get(b, k + 1))).alias("cost"), k.alias("k")))
-        best = F.array_min(F.filter(at, lambda x: x["cost"].isNotNull()))
-        without = lambda k: F.concat(F.slice(b, F.lit(1), k), F.slice(b, k + 2, F.size(b) - k - 1))
-        return F.when(F.size(b) > 2, _bind(best["k"], lambda k: F.coalesce(without(k), b))).otherwise(b)
-
-    return _bind(score, lambda m: F.aggregate(
-        F.sequence(F.lit(1), F.col(n)), F.sequence(F.lit(0), F.col(n)), lambda b, _: step(b, m)))
+    """Boundaries after merging, again and again, the adjacent pair of the best score (leftmost of equals).
+    The fold keeps where the segment that begins at each place ends (0: none begins there), until no pair is left."""
+    ranked = F.array_sort(F.transform(F.filter(edges, lambda e: e["stop"] - e["start"] > 1), lambda e: F.struct(
+        (-e["score"]).alias("cost"), e["start"].alias("start"), e["stop"].alias("stop"))))
+    state = lambda ends, more: F.struct(ends.alias("ends"), more.alias("more"))
+
+    def merge(ends, ranked):
+        # a pair: two segments that together make the piece
+        pairs = F.filter(ranked, lambda e: F.get(ends, e["start"]).between(1, e["stop"] - 1)
+                         & (F.get(ends, F.get(ends, e["start"])) == e["stop"]))
+        return _bind(F.get(pairs, F.lit(0)), lambda e: F.when(e.isNull(), state(ends, F.lit(False))).otherwise(state(
+            F.transform(ends, lambda x, i: F.when(i == e["start"], e["stop"]).when(
+                i == F.get(ends, e["start"]), F.lit(0)).otherwise(x)), F.lit(True))))
+
+    first = state(F.transform(F.sequence(F.lit(1), F.col(n) + 1), lambda i: F.when(i > F.col(n), F.lit(0)).otherwise(i)), F.lit(True))
+    ends = _bind(ranked, lambda r: F.aggregate(
+        F.sequence(F.lit(1), F.col(n)), first, lambda s, _: F.when(s["more"], merge(s["ends"], r)).otherwise(s)))
+    return _bind(ends["ends"], lambda x: F.concat(
+        F.filter(F.sequence(F.lit(0), F.col(n) - 1), lambda i: F.get(x, i) > 0), F.array(F.col(n))))
 
 
 def viterbi_bounds(edges: str, n: str, unknown_score: float) -> Column:
@@ -202,69 +214,119 @@ def _encode_long(model: Model):
     def run(batches):
         table = {p: (i, s) for p, i, s in model.pieces}
         for b in batches:
-            u = b.column("unit").to_pylist()
-            yield pa.RecordBatch.from_arrays([b.column("unit"), pa.array([encode_unit(x, model, table) for x in u], pa.list_(pa.int32()))],
-                                             names=["unit", "ids"])
+            ids = [encode_unit(x, model, table) for x in b.column("unit").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("h"), b.column("unit"), pa.array(ids, pa.list_(pa.int32()))],
+                                             names=["h", "unit", "ids"])
 
     return run
 
 
 def encode_units(words: DataFrame, model: Model) -> DataFrame:
-    """(unit, ids) of distinct units (column unit)."""
+    """(h, unit, ids) of distinct units (columns h, unit)."""
     short = lattice(words.where(F.length("unit") <= LONG), model.frame(words.sparkSession), model.longest)
     low = min((s for _, _, s in model.pieces), default=0.0) - 10.0
     bounds = merged_bounds("edges", "n") if model.kind == "bpe" else viterbi_bounds("edges", "n", low)
-    done = short.withColumn("bounds", bounds).select("unit", _ids(model).cast("array<int>").alias("ids"))
-    return done.union(words.where(F.length("unit") > LONG).select("unit").mapInArrow(_encode_long(model), "unit string, ids array<int>"))
-
+    done = short.withColumn("bounds", bounds).select("h", "unit", _ids(model).cast("array<int>").alias("ids"))
+    return done.union(words.where(F.length("unit") > LONG).select("h", "unit").mapInArrow(
+        _encode_long(model), "h long, unit string, ids array<int>"))
+
+
+BLOCK = "block string, docs binary, sizes binary, planes array<binary>, units array<string>"
+
+
+def _blocks(block_bytes: int):
+    """Documents of a task in blocks of about ``block_bytes``: their ids, how many units each has, the place of each unit
+    in the block's own dictionary (most frequent first; one compressed plane per byte), and the dictionary."""
+
+    def pack(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        t = pa.Table.from_batches(held)
+        arr = column(t, "units")
+        off = arr.offsets.to_numpy()
+        coded = arr.values.slice(off[0], off[-1] - off[0]).dictionary_encode()
+        at, words = coded.indices.to_numpy(), coded.dictionary
+        order = np.argsort(-np.bincount(at, minlength=len(words)), kind="stable")
+        rank = np.empty(len(words), np.uint32)
+        rank[order] = np.arange(len(words), dtype=np.uint32)
+        codes = rank[at].view(np.uint8).reshape(-1, 4)
+        squeezed = [pa.compress(np.ascontiguousarray(codes[:, i]).tobytes(), "zstd", asbytes=True) for i in range(4)]
+        doc = column(t, "doc_id").to_numpy(zero_copy_only=False)
+        units_of = words.take(pa.array(order)).cast(pa.string())
+        return pa.RecordBatch.from_arrays([
+            pa.array([uuid.uuid4().hex]), pa.array([doc.astype(np.int64).tobytes()], pa.binary()),
+            pa.array([np.diff(off).astype(np.int64).tobytes()], pa.binary()), pa.array([squeezed], pa.list_(pa.binary())),
+            pa.ListArray.from_arrays(pa.array([0, len(units_of)], pa.int32()), units_of)],
+            names=["block", "docs", "sizes", "planes", "units"])
 
-def _distinct_units(batches):
-    for b in batches:
-        arr = b.column("units")
-        at = np.repeat(b.column("bucket").to_numpy(), np.diff(arr.offsets.to_numpy()))
-        t = pa.table({"bucket": pa.array(at, pa.int32()), "unit": arr.flatten()}).group_by(["bucket", "unit"]).aggregate([])
-        yield from t.select(["bucket", "unit"]).combine_chunks().to_batches()
+    def run(batches):
+        held, size = [], 0
+        for b in batches:
+            for part in list_slices(b, "units", block_bytes):
+                held.append(part)
+                size += part.nbytes
+                if size >= block_bytes:
+                    yield pack(held)
+                    held, size = [], 0
+        if held:
+            yield pack(held)
 
+    return run
 
-def _apply(docs: pa.Table, words: pa.Table) -> pa.Table:
-    """Ids of one bucket's documents from the bucket's own dictionary."""
-    import pyarrow.compute as pc
 
-    arr = column(docs, "units")
-    off = arr.offsets.to_numpy() - arr.offsets.to_numpy()[0]
-    at = pc.index_in(arr.flatten(), value_set=column(words, "unit")).to_numpy(zero_copy_only=False).astype(np.int64)
-    ids = column(words, "ids")
-    first, val = ids.offsets.to_numpy(), ids.values.to_numpy()
-    n = np.diff(first)[at] if len(at) else np.zeros(0, np.int64)
-    ends = np.append(0, np.cumsum(n))
-    flat = val[np.repeat(first[:-1][at] - ends[:-1], n) + np.arange(ends[-1])] if len(at) else val[:0]
-    lists = pa.LargeListArray.from_arrays(pa.array(ends[off], pa.int64()), pa.array(flat, pa.int32()))
-    return pa.table({"doc_id": column(docs, "doc_id"), "ids": lists.cast(pa.list_(pa.int32()))})
+def list_slices(batch: pa.RecordBatch, name: str, limit: int):
+    """Cut a batch so that a slice's lists of strings have about ``limit`` bytes (one row at least)."""
+    if batch.nbytes <= limit:
+        yield batch
+    elif batch.num_rows == 1:
+        yield batch
+    else:
+        half = batch.num_rows // 2
+        yield from list_slices(batch.slice(0, half), name, limit)
+        yield from list_slices(batch.slice(half), name, limit)
 
 
-def encode(docs: DataFrame, model: Model, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+def _apply(docs: pa.Table, words: pa.Table) -> pa.Table:
+    """Ids of one block's documents from the block's own dictionary."""
+    out = []
+    where = column(words, "pos").to_numpy()
+    ids = column(words, "ids")
+    first, val = ids.offsets.to_numpy(), ids.values.to_numpy(zero_copy_only=False)
+    begin, length = np.zeros(len(where), np.int64), np.zeros(len(where), np.int64)
+    begin[where], length[where] = first[:-1], np.diff(first)
+    for row in docs.to_pylist():
+        sizes = np.frombuffer(row["sizes"], np.int64)
+        total = int(sizes.sum())
+        at = np.zeros(total, np.uint32)
+        for i, p in enumerate(row["planes"]):
+            at |= np.frombuffer(pa.decompress(p, total, "zstd", asbytes=True), np.uint8).astype(np.uint32) << np.uint32(8 * i)
+        n = length[at]
+        ends = np.append(0, np.cumsum(n))
+        flat = val[np.repeat(begin[at] - ends[:-1], n) + np.arange(ends[-1])] if total else val[:0].astype(np.int32)
+        lists = pa.LargeListArray.from_arrays(pa.array(ends[np.append(0, np.cumsum(sizes))], pa.int64()), pa.array(flat, pa.int32()))
+        doc = np.frombuffer(row["docs"], np.int64)
+        out.append(pa.table({"doc_id": pa.array(doc, mask=doc == NO_ID), "ids": lists.cast(pa.list_(pa.int32()))}))
+    return pa.concat_tables(out) if out else pa.table({"doc_id": pa.array([], pa.int64()), "ids": pa.array([], pa.list_(pa.int32()))})
+
+
+def encode(docs: DataFrame, model: Model, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(doc_id, ids) of every whole text.
 
-    Texts are cut into units, the distinct units are encoded once by the lattice, and the ids go back to the documents.
-    For that, documents are dealt into buckets of about ``bucket_bytes`` by id; a unit travels once for each
-    bucket that holds it, whatever its frequency, and a bucket meets only its own dictionary.
+    Texts are cut into units and written once, in blocks of about ``block_bytes``: places in the block's dictionary,
+    compressed. The distinct units of all blocks are encoded once by the lattice, and their ids go back to the blocks: a unit
+    travels once for each block that holds it, whatever its frequency, and a block meets only its own dictionary.
 
     Null and empty texts have no ids. Rows are encoded one by one, repeated ones and null doc_ids too. Other columns are ignored. Special
     pieces are never made of text. A text's own U+2581 counts as a space.
     """
-    src = docs.select(F.col("doc_id").cast("long"), F.col("text"))
-    size, rows = src.agg(F.sum(F.octet_length("text")), F.count(F.lit(1))).first()
-    buckets = max(12, -(-(size or 0) // bucket_bytes))
-    cut = Scratch(docs.sparkSession, "pieces")
-    dealt = src.select("doc_id", "text", F.pmod(F.xxhash64(F.coalesce("doc_id", F.monotonically_increasing_id())),
-                                                F.lit(buckets)).cast("int").alias("bucket")).repartition(buckets, "bucket")
-    dealt = dealt.select("doc_id", "bucket", units("text", model).alias("units"))
-    asked = cut.table(dealt.select("bucket", "units").mapInArrow(_distinct_units, "bucket int, unit string").distinct())
-    # dealt by number: folds cost far more than their bytes tell the planner
-    wide = max(buckets, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    words = encode_units(asked.select("unit").repartition(wide, "unit").distinct(), model)
-    known = asked.join(words, "unit").select("bucket", "unit", "ids")
-    return dealt.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(_apply, "doc_id long, ids array<int>")
+    spark = docs.sparkSession
+    cut = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), units("text", model).alias("units"))
+    blocks = Scratch(spark, "pieces").table(cut.mapInArrow(_blocks(block_bytes), BLOCK))
+    many = blocks.agg(F.sum(F.size("units"))).first()[0] or 0
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-many // PART_UNITS))
+    asked = blocks.select("block", F.posexplode("units").alias("pos", "unit")).withColumn("h", F.xxhash64("unit"))
+    # both sides dealt by the same hash: neither grouping the edges nor the join shuffles again
+    words = encode_units(asked.select("h", "unit").repartition(parts, "h").distinct(), model)
+    known = asked.repartition(parts, "h").join(words, ["h", "unit"]).select(F.col("block").alias("of"), "pos", "ids")
+    return blocks.drop("units").groupBy("block").cogroup(known.groupBy("of")).applyInArrow(_apply, "doc_id long, ids array<int>")
 
 
 def _decode(model: Model):
