@@ -75,24 +75,18 @@ def lattice(words: DataFrame, pieces: DataFrame, longest: int) -> DataFrame:
     """(h, unit, n, edges): the substrings of each unit that are pieces, as (start, stop, id, score). Every substring
     of at most ``longest`` characters is exploded and meets the piece table by an equi-join. ``words`` holds distinct
     units and their hash ``h``; dealt by ``h``, the edges are grouped without another shuffle."""
-    n = F.length("unit")
-    cuts = F.flatten(F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.transform(
-        F.sequence(F.lit(1), F.least(F.lit(longest), n - i)),
-        lambda k: F.struct(i.alias("start"), (i + k).alias("stop")))))
-    # the empty cut keeps a unit without any piece
-    cuts = F.concat(F.array(F.struct(F.lit(0).alias("start"), F.lit(0).alias("stop"))), cuts)
-    each = words.select("h", "unit", F.explode(cuts).alias("c")).select(
-        "h", "unit", "c.start", "c.stop", F.substring(F.col("unit"), F.col("c.start") + 1, F.col("c.stop") - F.col("c.start")).alias("piece"))
+    # the empty cut (no characters) at the first place keeps a unit without any piece
+    ends = words.select("h", "unit", F.explode(F.sequence(F.lit(0), F.length("unit") - 1)).alias("start"))
+    tails = ends.withColumn("tail", F.substring(F.col("unit"), F.col("start") + 1, F.lit(longest)))
+    each = tails.select("h", "unit", "start", "tail", F.explode(F.sequence(
+        F.when(F.col("start") == 0, 0).otherwise(1), F.length("tail"))).alias("k")).select(
+        "h", "unit", "start", (F.col("start") + F.col("k")).alias("stop"), F.expr("left(tail, k)").alias("piece"))
     met = each.join(F.broadcast(pieces), "piece", "left").where("id is not null or stop = 0")
     edge = F.struct("start", "stop", "id", "score")
     return met.groupBy("h", "unit").agg(F.collect_list(F.when(F.col("stop") > 0, edge)).alias("edges")
                                         ).withColumn("n", F.length("unit"))
 
 
-def _key(start: Column, stop: Column) -> Column:
-    return start * 4096 + stop
-
-
 def _bind(value: Column, use) -> Column:
     """``use(value)`` with ``value`` computed once, not once in each step of a fold."""
     return F.get(F.transform(F.array(value), use), F.lit(0))
@@ -141,8 +135,6 @@ def viterbi_bounds(edges: str, n: str, unknown_score: float) -> Column:
 
 def _ids(model: Model) -> Column:
     """Ids of the segments between ``bounds``; a character that is no piece becomes its bytes (or the unknown id)."""
-    known = F.map_from_entries(F.transform("edges", lambda e: F.struct(_key(e["start"], e["stop"]), e["id"])))
-
     def fallback(char):
         if len(model.byte_ids) < 256:
             return F.array(F.lit(model.unknown))
@@ -151,14 +143,20 @@ def _ids(model: Model) -> Column:
         return F.transform(F.sequence(F.lit(0), F.octet_length(char) - 1), lambda i: F.get(
             table, F.conv(F.substring(hexed, (2 * i + 1).cast("int"), F.lit(2)), 16, 10).cast("int")))
 
-    def segment(k, bounds, known):
+    def segment(k, bounds, hits):
         a, b = F.get(bounds, k - 1), F.get(bounds, k)
-        own = F.try_element_at(known, _key(a, b))
-        return F.when(own.isNotNull(), F.array(own)).otherwise(fallback(F.substring(F.col("unit"), a + 1, b - a)))
-
-    both = F.struct(F.col("bounds").alias("bounds"), known.alias("known"))
-    return _bind(both, lambda x: F.flatten(F.transform(
-        F.sequence(F.lit(1), F.size(x["bounds"]) - 1), lambda k: segment(k, x["bounds"], x["known"]))))
+        own = F.filter(hits, lambda e: e["start"] == a)
+        return F.when(F.size(own) > 0, F.transform(own, lambda e: e["id"])).otherwise(
+            fallback(F.substring(F.col("unit"), a + 1, b - a)))
+
+    def spelled(bounds, hits):
+        return F.flatten(F.transform(F.sequence(F.lit(1), F.size(bounds) - 1), lambda k: segment(k, bounds, hits)))
+
+    # the edges that are segments: where one begins, the next boundary is its end
+    hits = lambda bounds: F.array_sort(F.filter("edges", lambda e: F.get(
+        bounds, F.array_position(bounds, e["start"]).cast("int")) == e["stop"]))
+    return _bind(F.col("bounds"), lambda b: _bind(hits(b), lambda h: F.when(
+        F.size(h) == F.size(b) - 1, F.transform(h, lambda e: e["id"])).otherwise(spelled(b, h))))
 
 
 def encode_unit(unit: str, model: Model, table: dict[str, tuple[int, float]]) -> list[int]:
