@@ -18,9 +18,9 @@ def always_negative(df: DataFrame) -> DataFrame:
 
 
 def low_bikes_score(bikes, max_bikes):
-    """clip(1 - bikes / max(max_bikes, 1), 0, 1): fewer bikes, higher risk."""
-    return F.least(F.greatest(F.lit(1.0) - bikes / F.greatest(max_bikes, F.lit(1.0)), F.lit(0.0)),
-                   F.lit(1.0))
+    """clip(1 - bikes / max(max_bikes, 1), 0, 1): fewer bikes, higher risk. Unknown bikes have no score."""
+    score = F.lit(1.0) - bikes / F.greatest(max_bikes, F.lit(1.0))
+    return F.when(bikes.isNotNull(), F.least(F.greatest(score, F.lit(0.0)), F.lit(1.0)))
 
 
 def low_bikes_rule(df: DataFrame, k: int) -> DataFrame:

@@ -138,3 +138,13 @@ def test_comparison_table(spark):
         _pred(spark, [0, 1, 1, 0], [1, 1, 1, 1], [.5, .5, .5, .5], "b"))
     t = M.comparison_table(M.classification_metrics(p))
     assert set(t.columns) == {"metric", "a", "b"} and t.count() == 7
+
+
+def test_unknown_bikes_have_no_rule_score(spark):
+    from pyspark.sql import functions as F
+
+    from dockwatch.ml.baseline import low_bikes_score
+
+    df = spark.createDataFrame([(None,), (0.0,), (5.0,), (20.0,)], "bikes double")
+    got = [r[0] for r in df.select(low_bikes_score(F.col("bikes"), F.lit(10.0))).collect()]
+    assert got == [None, 1.0, 0.5, 0.0]
