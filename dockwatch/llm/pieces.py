@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import heapq
-import uuid
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -74,7 +74,7 @@ def units(text: str, model: Model) -> Column:
 def lattice(words: DataFrame, pieces: DataFrame, longest: int) -> DataFrame:
     """(h, unit, n, edges): the substrings of each unit that are pieces, as (start, stop, id, score). Every substring
     of at most ``longest`` characters is exploded and meets the piece table by an equi-join. ``words`` holds distinct
-    units and their hash ``h``; dealt by ``h``, the edges are grouped without another shuffle."""
+    units, dealt by unit, and their hash ``h``, which is quick to sort by: the edges are grouped without another shuffle."""
     # the empty cut (no characters) at the first place keeps a unit without any piece
     ends = words.select("h", "unit", F.explode(F.sequence(F.lit(0), F.length("unit") - 1)).alias("start"))
     tails = ends.withColumn("tail", F.substring(F.col("unit"), F.col("start") + 1, F.lit(longest)))
@@ -213,30 +213,28 @@ def _encode_long(model: Model):
         table = {p: (i, s) for p, i, s in model.pieces}
         for b in batches:
             ids = [encode_unit(x, model, table) for x in b.column("unit").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("h"), b.column("unit"), pa.array(ids, pa.list_(pa.int32()))],
-                                             names=["h", "unit", "ids"])
+            yield pa.RecordBatch.from_arrays([b.column("block"), b.column("pos"), pa.array(ids, pa.list_(pa.int32()))],
+                                             names=["of", "pos", "ids"])
 
     return run
 
 
 def encode_units(words: DataFrame, model: Model) -> DataFrame:
-    """(h, unit, ids) of distinct units (columns h, unit)."""
-    short = lattice(words.where(F.length("unit") <= LONG), model.frame(words.sparkSession), model.longest)
+    """(unit, ids) of distinct units of at most ``LONG`` characters (column unit)."""
+    short = lattice(words.withColumn("h", F.xxhash64("unit")), model.frame(words.sparkSession), model.longest)
     low = min((s for _, _, s in model.pieces), default=0.0) - 10.0
     bounds = merged_bounds("edges", "n") if model.kind == "bpe" else viterbi_bounds("edges", "n", low)
-    done = short.withColumn("bounds", bounds).select("h", "unit", _ids(model).cast("array<int>").alias("ids"))
-    return done.union(words.where(F.length("unit") > LONG).select("h", "unit").mapInArrow(
-        _encode_long(model), "h long, unit string, ids array<int>"))
+    return short.withColumn("bounds", bounds).select("unit", _ids(model).cast("array<int>").alias("ids"))
 
 
-BLOCK = "block string, docs binary, sizes binary, planes array<binary>, units array<string>"
+BLOCK = "block long, docs binary, sizes binary, planes array<binary>, units array<string>"
 
 
 def _blocks(block_bytes: int):
     """Documents of a task in blocks of about ``block_bytes``: their ids, how many units each has, the place of each unit
     in the block's own dictionary (most frequent first; one compressed plane per byte), and the dictionary."""
 
-    def pack(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+    def pack(held: list[pa.RecordBatch], block: int) -> pa.RecordBatch:
         t = pa.Table.from_batches(held)
         arr = column(t, "units")
         off = arr.offsets.to_numpy()
@@ -250,22 +248,22 @@ def _blocks(block_bytes: int):
         doc = column(t, "doc_id").to_numpy(zero_copy_only=False)
         units_of = words.take(pa.array(order)).cast(pa.string())
         return pa.RecordBatch.from_arrays([
-            pa.array([uuid.uuid4().hex]), pa.array([doc.astype(np.int64).tobytes()], pa.binary()),
+            pa.array([block], pa.int64()), pa.array([doc.astype(np.int64).tobytes()], pa.binary()),
             pa.array([np.diff(off).astype(np.int64).tobytes()], pa.binary()), pa.array([squeezed], pa.list_(pa.binary())),
             pa.ListArray.from_arrays(pa.array([0, len(units_of)], pa.int32()), units_of)],
             names=["block", "docs", "sizes", "planes", "units"])
 
     def run(batches):
-        held, size = [], 0
+        held, size, block = [], 0, TaskContext.get().partitionId() << 32
         for b in batches:
             for part in list_slices(b, "units", block_bytes):
                 held.append(part)
                 size += part.nbytes
                 if size >= block_bytes:
-                    yield pack(held)
-                    held, size = [], 0
+                    yield pack(held, block)
+                    held, size, block = [], 0, block + 1
         if held:
-            yield pack(held)
+            yield pack(held, block)
 
     return run
 
@@ -320,10 +318,12 @@ def encode(docs: DataFrame, model: Model, block_bytes: int = BLOCK_BYTES) -> Dat
     blocks = Scratch(spark, "pieces").table(cut.mapInArrow(_blocks(block_bytes), BLOCK))
     many = blocks.agg(F.sum(F.size("units"))).first()[0] or 0
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-many // PART_UNITS))
-    asked = blocks.select("block", F.posexplode("units").alias("pos", "unit")).withColumn("h", F.xxhash64("unit"))
-    # both sides dealt by the same hash: neither grouping the edges nor the join shuffles again
-    words = encode_units(asked.select("h", "unit").repartition(parts, "h").distinct(), model)
-    known = asked.repartition(parts, "h").join(words, ["h", "unit"]).select(F.col("block").alias("of"), "pos", "ids")
+    asked = blocks.select("block", F.posexplode("units").alias("pos", "unit"))
+    short, long = asked.where(F.length("unit") <= LONG), asked.where(F.length("unit") > LONG)
+    # both sides dealt by unit: neither grouping the edges nor the join shuffles again
+    words = encode_units(short.select("unit").repartition(parts, "unit").distinct(), model)
+    known = short.repartition(parts, "unit").join(words, "unit").select(F.col("block").alias("of"), "pos", "ids").union(
+        long.mapInArrow(_encode_long(model), "of long, pos int, ids array<int>"))
     return blocks.drop("units").groupBy("block").cogroup(known.groupBy("of")).applyInArrow(_apply, "doc_id long, ids array<int>")
 
 
