@@ -13,8 +13,6 @@ from dockwatch.plans import triage as T
 from dockwatch.session import ensure_checkpoint_dir
 from dockwatch.sources.readings import readings_for
 
-# Rounds for the registered queries (the library default is larger).
-QUERY_MAX_ITER = 30
 _RUNS: dict[str, dict] = {}
 
 
@@ -24,7 +22,7 @@ def _run(spark, d):
     if key not in _RUNS:
         ds = D.build_dataset(readings_for(spark, d), S)
         out = ensure_checkpoint_dir(spark).rstrip("/") + "/dockwatch-runs"
-        _RUNS[key] = TR.train_run(spark, ds, out, max_iter=QUERY_MAX_ITER, input_path=d)
+        _RUNS[key] = TR.train_run(spark, ds, out, input_path=d)
         _RUNS[key]["_out"] = out
     return _RUNS[key]
 

@@ -10,6 +10,7 @@ from datetime import datetime
 
 from pyspark.sql import SparkSession
 
+from dockwatch.ml.model import DEFAULT_MAX_ITER
 from dockwatch.settings import DEFAULT_TOP_N, SENSITIVITY_THRESHOLDS, Settings
 
 
@@ -72,7 +73,7 @@ def main(argv=None) -> int:
     tr = sub.add_parser("train")
     tr.add_argument("--dataset", required=True)
     tr.add_argument("--out", required=True)
-    tr.add_argument("--max-iter", type=int, default=200)
+    tr.add_argument("--max-iter", type=int, default=DEFAULT_MAX_ITER)
     ev = sub.add_parser("evaluate")
     ev.add_argument("--dataset", required=True)
     ev.add_argument("--model", required=True)

@@ -8,8 +8,9 @@ scoring (``model_input``).
 
 from __future__ import annotations
 
+from pyspark import SparkContext
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -23,7 +24,7 @@ MISSING_SENTINEL = -1.0e6
 GBT_PARAMS = dict(stepSize=0.05, maxDepth=5, minInstancesPerNode=20, subsamplingRate=0.8,
                   featureSubsetStrategy="0.8", seed=SEED, checkpointInterval=10, maxBins=64)
 EARLY_STOPPING_ROUNDS = 50
-DEFAULT_MAX_ITER = 200
+DEFAULT_MAX_ITER = 1000
 
 
 def model_input(df: DataFrame) -> DataFrame:
@@ -60,26 +61,54 @@ def best_iteration(losses: list[float], patience: int = EARLY_STOPPING_ROUNDS) -
     return best_i + 1
 
 
+def first_rounds(model: PipelineModel, rounds: int) -> PipelineModel:
+    """The fitted model cut to its first ``rounds`` trees (no refit)."""
+    gbt = model.stages[-1]
+    java = gbt._java_obj
+    gateway = SparkContext._active_spark_context._gateway
+    ml = gateway.jvm.org.apache.spark.ml
+    trees, weights = java.trees(), java.treeWeights()
+    t = gateway.new_array(ml.regression.DecisionTreeRegressionModel, rounds)
+    w = gateway.new_array(gateway.jvm.double, rounds)
+    for i in range(rounds):
+        t[i], w[i] = trees[i], weights[i]
+    cut = GBTClassificationModel(ml.classification.GBTClassificationModel(
+        java.uid(), t, w, java.numFeatures(), java.numClasses()))
+    return PipelineModel([*model.stages[:-1], gbt._copyValues(cut, {gbt.maxIter: rounds})])
+
+
 def train_model(train: DataFrame, val: DataFrame, max_iter: int = DEFAULT_MAX_ITER,
                 patience: int = EARLY_STOPPING_ROUNDS) -> tuple[PipelineModel, dict]:
-    """Fit, choose the round count on the validation split, refit with it
-    (same seed, so the refit is the same prefix of trees)."""
+    """Fit in growing blocks of rounds until the validation loss has not improved for
+    ``patience`` rounds or ``max_iter`` rounds are fitted; keep the trees up to the best round.
+
+    MLlib can't go on from fitted trees, so a block fits all rounds anew, twice as many as the
+    one before (same seed: the same trees first). Without validation rows: ``max_iter`` rounds."""
     tr, spw = _weighted(model_input(train))
     tr = tr.cache()
     params = dict(GBT_PARAMS, labelCol="label", weightCol="weight", featuresCol="features")
-    pipe = Pipeline(stages=[_assembler(), GBTClassifier(maxIter=max_iter, **params)])
-    model = pipe.fit(tr)
     va = model_input(val).withColumn("label", F.col(TARGET_COLUMN).cast("double")).withColumn(
-        "weight", F.lit(1.0))
+        "weight", F.lit(1.0)).cache()
+    checked = va.limit(1).count() > 0
+    rounds = min(2 * patience, max_iter) if checked else max_iter
     losses: list[float] = []
-    if va.limit(1).count() > 0:
+    while True:
+        model = Pipeline(stages=[_assembler(), GBTClassifier(maxIter=rounds, **params)]).fit(tr)
+        if not checked:
+            best = rounds
+            break
         losses = list(model.stages[-1].evaluateEachIteration(model.stages[0].transform(va)))
-    best = best_iteration(losses, patience) if losses else max_iter
-    if best < max_iter:
-        model = Pipeline(stages=[_assembler(), GBTClassifier(maxIter=best, **params)]).fit(tr)
+        best = best_iteration(losses, patience)
+        if rounds >= max_iter or rounds - best >= patience:
+            break
+        rounds = min(2 * rounds, max_iter)
+    if best < rounds:
+        model = first_rounds(model, best)
     tr.unpersist()
+    va.unpersist()
     info = {"scale_pos_weight": spw, "best_iteration": best, "early_stopped": best < max_iter,
-            "max_iter": max_iter, "val_losses": losses, "hyperparams": GBT_PARAMS}
+            "max_iter": max_iter, "fitted_rounds": rounds, "val_losses": losses,
+            "hyperparams": GBT_PARAMS}
     return model, info
 
 

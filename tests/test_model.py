@@ -7,8 +7,10 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from dockwatch import catalog_model
 from dockwatch.ml import model as GB
 from dockwatch.ml.scorers import ModelScorer, RuleScorer
+from dockwatch.ml.split import temporal_split
 from dockwatch.ml.training import evaluate_saved, train_run
 from dockwatch.plans.dataset import build_dataset
 from dockwatch.plans.triage import triage_result
@@ -24,6 +26,28 @@ def test_best_iteration_patience():
     assert GB.best_iteration([1, 2, 3, 0.5], patience=2) == 1
 
 
+def test_trains_until_the_patience_rule(spark, random_readings):
+    sp = temporal_split(build_dataset(random_readings, Settings(min_forward_rows=30))).cache()
+    train, val = sp.filter("split = 'train'"), sp.filter("split = 'val'")
+    model, info = GB.train_model(train, val, patience=2)
+    best, fitted = info["best_iteration"], info["fitted_rounds"]
+    assert info["max_iter"] == 1000 and fitted - best >= 2 and len(info["val_losses"]) == fitted
+    assert model.stages[-1].getNumTrees == best == GB.best_iteration(info["val_losses"], 2)
+    refit, _ = GB.train_model(train, val.limit(0), max_iter=best)  # fitted with as many rounds
+    assert refit.stages[-1].getNumTrees == best
+    assert GB.feature_importance(model, None) == GB.feature_importance(refit, None)
+    assert GB.predictions(model, val).exceptAll(GB.predictions(refit, val)).count() == 0
+
+
+def test_registered_queries_train_the_default_rounds(spark, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(catalog_model, "readings_for", lambda *a: None)
+    monkeypatch.setattr(catalog_model.D, "build_dataset", lambda *a: None)
+    monkeypatch.setattr(catalog_model.TR, "train_run", lambda *a, **k: seen.update(k) or {})
+    catalog_model._run(spark, "/no/such/folder")
+    assert seen.get("max_iter", GB.DEFAULT_MAX_ITER) == 1000
+
+
 @pytest.fixture(scope="module")
 def run(spark, random_readings, tmp_path_factory):
     ds = build_dataset(random_readings, Settings(min_forward_rows=30))
