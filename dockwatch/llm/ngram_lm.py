@@ -14,6 +14,8 @@ from dockwatch.llm.shared import Scratch, column, list_values
 
 #: Words whose counts every task holds: the most frequent ones, at most this many (16 bytes each).
 FREQUENT = 1 << 16
+#: A slice names a pair that is likely frequent once it makes up one in so many of the slice's pairs.
+LIKELY = 1 << 13
 #: N-grams a hash partition has room for. A document gets a sum from each partition it has n-grams in,
 #: so partitions are as large as a task's memory allows.
 PART_GRAMS = 6_000_000
@@ -62,28 +64,75 @@ def _words(b: pa.RecordBatch):
     return w, np.repeat(b.column("doc_id").to_numpy(), size), first, last
 
 
-def _count_rows(parts: int, scored: bool):
-    """Bigrams of the corpus, packed by hash partition; where the corpus is scored itself, with their documents."""
+def _find(keys: np.ndarray, asked: np.ndarray):
+    """Places in sorted ``keys``, and where the asked ones are found."""
+    if not len(keys):
+        return np.zeros(len(asked), np.int64), np.zeros(len(asked), bool)
+    at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
+    return at, keys[at] == asked
+
+
+def _pairs(b: pa.RecordBatch):
+    """Word hashes, their documents, whether they begin or end one, the places of pairs' second words, and the pairs' hashes."""
+    w, doc, first, last = _words(b)
+    at = np.flatnonzero(~first)
+    return w, doc, first, last, at, _bigrams(w[at - 1], w[at])
+
+
+def _likely_pairs(batches):
+    """Pairs of a slice that may be frequent, at most ``LIKELY``, with their counts there: a pair named by no slice makes up less
+    than one in ``LIKELY`` of all."""
+    for b in _slices(batches):
+        g = _pairs(b)[-1]
+        keys, n = np.unique(g, return_counts=True)
+        keep = n * LIKELY >= len(g)
+        yield pa.RecordBatch.from_arrays([pa.array(keys[keep].view(np.int64)), pa.array(n[keep])], names=["g", "n"])
+
+
+def _counts_of(hot: np.ndarray):
+    def run(batches):
+        for b in _slices(batches):
+            at, hit = _find(hot, _pairs(b)[-1])
+            n = np.bincount(at[hit], minlength=len(hot))
+            seen = np.flatnonzero(n)
+            yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(n[seen])], names=["at", "n"])
+
+    return run
+
+
+def _frequent_pairs(base: DataFrame, src: DataFrame | None, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes of at most ``most`` frequent pairs of the corpus or of the documents, and their exact counts in the corpus."""
+    both = base if src is None else base.union(src)
+    named = both.mapInArrow(_likely_pairs, "g long, n long").groupBy("g").agg(F.sum("n").alias("n"))
+    hot = np.sort(named.orderBy(F.desc("n"), "g").limit(most).toArrow().column("g").to_numpy().view(np.uint64))
+    found = base.mapInArrow(_counts_of(hot), "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+    count = np.zeros(len(hot), np.int64)
+    count[found.column("at").to_numpy()] = found.column("n").to_numpy()
+    return hot, count
+
+
+def _count_rows(parts: int, scored: bool, hot: np.ndarray):
+    """Rare bigrams of the corpus, packed by hash partition; where the corpus is scored itself, with their documents."""
 
     def run(batches):
         for b in _slices(batches):
-            w, doc, first, _ = _words(b)
-            at = np.flatnonzero(~first)
-            g = _bigrams(w[at - 1], w[at])
+            _, doc, _, _, at, g = _pairs(b)
+            rare = ~_find(hot, g)[1]
+            at, g = at[rare], g[rare]
             yield _pack((g % np.uint64(parts)).astype(np.int64), doc[at] if scored else np.zeros(len(at), np.int64),
                         [g, np.zeros(len(g), np.int8)], ["part", "docs", "runs", "a", "b"])
 
     return run
 
 
-def _score_rows(parts: int):
-    """Bigrams of documents outside the corpus: both words, as an unseen pair asks for its second word alone."""
+def _score_rows(parts: int, hot: np.ndarray):
+    """Rare bigrams of documents outside the corpus: both words, as an unseen pair asks for its second word alone."""
 
     def run(batches):
         for b in _slices(batches):
-            w, doc, first, _ = _words(b)
-            at = np.flatnonzero(~first)
-            g = _bigrams(w[at - 1], w[at])
+            w, doc, _, _, at, g = _pairs(b)
+            rare = ~_find(hot, g)[1]
+            at, g = at[rare], g[rare]
             yield _pack((g % np.uint64(parts)).astype(np.int64), doc[at], [w[at - 1], w[at]],
                         ["part", "docs", "runs", "a", "b"])
 
@@ -145,20 +194,29 @@ def _seen_in_corpus(alpha: float, total: int):
     return run
 
 
-def _own_asks(total: int, closed: bool):
-    """What documents ask of the unigram table: the first word's count over all words, and in a closed
-    corpus the count of every context."""
+def _own_asks(total: int, closed: bool, alpha: float, hot: np.ndarray, count: np.ndarray):
+    """What documents ask of the unigram table: the first word's count over all words, in a closed
+    corpus the count of every context, else what their frequent pairs ask. Frequent pairs are scored here."""
 
     def run(batches):
         for b in _slices(batches):
-            w, doc, first, last = _words(b)
-            coef = first.astype(np.int64) - (~last if closed else 0)
+            w, doc, first, last, pair, g = _pairs(b)
+            at, hit = _find(hot, g)
+            pair, n = pair[hit], count[at[hit]]
+            coef = first.astype(np.int64)
+            if closed:
+                coef -= ~last
+            else:  # seen: less the first word's count; unseen: the second word's alone
+                coef[pair[n > 0] - 1] -= 1
+                coef[pair[n == 0]] += 1
             use = coef != 0
             size = np.diff(b.column("words").offsets.to_numpy())
             ends = np.append(0, np.cumsum(use))
             stop = np.cumsum(size)
             runs = ends[stop] - ends[stop - size]
             s = np.where(size > 0, -math.log(max(total, 1)), 0.0)
+            log_n = np.where(n > 0, np.log(np.maximum(n, 1)), math.log(alpha) - math.log(max(total, 1)))
+            s = s + np.bincount(np.repeat(np.arange(len(size)), size)[pair], log_n, len(size))
             yield _result(-1, b.column("doc_id").to_numpy(), runs, w[use], coef[use], s).to_batches()[0]
 
     return run
@@ -221,7 +279,8 @@ def score_documents(docs: DataFrame, corpus: DataFrame | None = None, alpha: flo
 
     N-grams are exploded to 64-bit hashes, packed by hash partition (one row per task and partition instead of one per n-gram),
     counted there, and joined there to what documents ask; sums go back by document. Partitions are sized from the number of
-    words. The most frequent words, at most ``frequent``, are joined before the shuffle, so no word makes a partition large.
+    words. The most frequent words and pairs, at most ``frequent`` of each, are joined before the shuffle. A pair that is not
+    among them makes up less than one in ``LIKELY`` plus one in ``frequent`` of all, so none makes a partition large.
 
     Words stand between ASCII white space, with case. Null and empty texts have no words and score 0 (mean null). Rows that
     share a doc_id (null too) are parts of one document. No documents: no rows. Other columns are ignored.
@@ -239,16 +298,17 @@ def score_documents(docs: DataFrame, corpus: DataFrame | None = None, alpha: flo
     known = top.column("w").to_numpy().view(np.uint64)
     order = np.argsort(known)
     known, count = known[order], top.column("n").to_numpy()[order]
+    hot, pair_count = _frequent_pairs(base, None if closed else src, frequent)
     parts = max(12, -(-total // part_grams))
     rare_parts = max(12, -(-(total - int(count.sum())) // part_grams))
 
-    pairs = base.mapInArrow(_count_rows(parts, closed), PACKED)
+    pairs = base.mapInArrow(_count_rows(parts, closed, hot), PACKED)
     if closed:
         seen = pairs.groupBy("part").applyInArrow(_seen_in_own, ASKED)
     else:
-        asked = src.mapInArrow(_score_rows(parts), PACKED)
+        asked = src.mapInArrow(_score_rows(parts, hot), PACKED)
         seen = pairs.groupBy("part").cogroup(asked.groupBy("part")).applyInArrow(_seen_in_corpus(alpha, total), ASKED)
-    own, settle = _own_asks(total, closed), _frequent_first(rare_parts, known, count)
+    own, settle = _own_asks(total, closed, alpha, hot, pair_count), _frequent_first(rare_parts, known, count)
     asks = src.mapInArrow(lambda batches: settle(own(batches)), ASKED)
     # in a closed corpus the pairs ask nothing more
     settled = scratch.table(asks.union(seen if closed else seen.mapInArrow(settle, ASKED)))

@@ -208,6 +208,29 @@ def test_backoff_scores(spark, odd_docs, no_docs):
     assert ngram_lm.score_documents(no_docs).count() == 0
 
 
+def test_frequent_pairs_stay_out_of_the_hash_partitions(spark, monkeypatch):
+    texts = ["a b " * 40 + f"w{i} x{i}" for i in range(60)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    largest = []
+    pack = ngram_lm._pack
+    words = df.select("doc_id", ngram_lm.word_hashes("text").alias("words"))
+    hot, count = ngram_lm._frequent_pairs(words, None, 8)
+    assert sorted(count)[-2:] == [60 * 39, 60 * 40]  # exact: b a, a b
+    monkeypatch.setattr(ngram_lm, "_pack", lambda part, *a: largest.append(np.bincount(part).max()) or pack(part, *a))
+    batch = words.toArrow().combine_chunks().to_batches()
+    assert sum(r.num_rows for r in ngram_lm._count_rows(1, True, hot)(batch)) <= 1
+    assert max(largest) <= 60 * 3
+    n, pairs = Counter(" ".join(texts).split()), Counter(p for t in texts for p in zip(t.split(), t.split()[1:]))
+    for r in ngram_lm.score_documents(df, frequent=8, part_grams=100).collect():
+        w = texts[r.doc_id].split()
+        want = math.log(n["a"] / n.total()) + sum(math.log(pairs[p] / n[p[0]]) for p in zip(w, w[1:]))
+        assert math.isclose(r.log_score, want, abs_tol=1e-6)
+    # frequent in the documents, absent from the corpus
+    for r in ngram_lm.score_documents(df, df.selectExpr("doc_id", "'b c' as text"), frequent=2).where("doc_id = 0").collect():
+        assert math.isclose(r.log_score, -math.log(120) + 39 * math.log(0.4 / 120) + 40 * math.log(0.4 * 60 / 120)
+                            + 2 * math.log(0.4 / 120), abs_tol=1e-6)
+
+
 def test_url_verdicts(spark):
     rows = [(1, "http://a.net/x", '<link rel="canonical" href="http://b.com/de/1">'),
             (2, "http://c.net/y", '<meta http-equiv="refresh" content="0; url=/x2">'),
