@@ -6,6 +6,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,9 +17,13 @@ from dockwatch.llm.shared import Scratch, column, list_values
 FREQUENT = 1 << 16
 #: A slice names a pair that is likely frequent once it makes up one in so many of the slice's pairs.
 LIKELY = 1 << 13
+#: Parts of a corpus that is scored by the counts of its other parts: one for each first digit of the id's md5.
+FOLDS = 16
 #: N-grams a hash partition has room for. A document gets a sum from each partition it has n-grams in,
 #: so partitions are as large as a task's memory allows.
 PART_GRAMS = 6_000_000
+#: The same where both words of an n-gram travel.
+FOLD_PART_GRAMS = 2_000_000
 #: Words a task packs at a time.
 WORDS_AT_ONCE = 1 << 19
 _FIRST, _SECOND = np.uint64(0x9E6C63D0876A9A47), np.uint64(0xD1342543DE82EF95)
@@ -89,26 +94,34 @@ def _likely_pairs(batches):
         yield pa.RecordBatch.from_arrays([pa.array(keys[keep].view(np.int64)), pa.array(n[keep])], names=["g", "n"])
 
 
-def _counts_of(hot: np.ndarray):
+def _folds_of(b: pa.RecordBatch, each: np.ndarray) -> np.ndarray:
+    """The fold of the document of each word that ``each`` picks."""
+    return np.repeat(b.column("fold").to_numpy(), np.diff(b.column("words").offsets.to_numpy()))[each].astype(np.int64)
+
+
+def _counts_of(hot: np.ndarray, folds: int):
     def run(batches):
         for b in _slices(batches):
-            at, hit = _find(hot, _pairs(b)[-1])
-            n = np.bincount(at[hit], minlength=len(hot))
+            *_, pair, g = _pairs(b)
+            at, hit = _find(hot, g)
+            key = at[hit] if folds == 1 else at[hit] * folds + _folds_of(b, pair[hit])
+            n = np.bincount(key, minlength=len(hot) * folds)
             seen = np.flatnonzero(n)
             yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(n[seen])], names=["at", "n"])
 
     return run
 
 
-def _frequent_pairs(base: DataFrame, src: DataFrame | None, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted hashes of at most ``most`` frequent pairs of the corpus or of the documents, and their exact counts in the corpus."""
+def _frequent_pairs(base: DataFrame, src: DataFrame | None, most: int, folds: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes of at most ``most`` frequent pairs of the corpus or of the documents, and their exact counts in the corpus
+    (a column for each fold)."""
     both = base if src is None else base.union(src)
     named = both.mapInArrow(_likely_pairs, "g long, n long").groupBy("g").agg(F.sum("n").alias("n"))
     hot = np.sort(named.orderBy(F.desc("n"), "g").limit(most).toArrow().column("g").to_numpy().view(np.uint64))
-    found = base.mapInArrow(_counts_of(hot), "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
-    count = np.zeros(len(hot), np.int64)
+    found = base.mapInArrow(_counts_of(hot, folds), "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+    count = np.zeros(len(hot) * folds, np.int64)
     count[found.column("at").to_numpy()] = found.column("n").to_numpy()
-    return hot, count
+    return hot, count if folds == 1 else count.reshape(-1, folds)
 
 
 def _count_rows(parts: int, scored: bool, hot: np.ndarray):
@@ -223,7 +236,8 @@ def _own_asks(total: int, closed: bool, alpha: float, hot: np.ndarray, count: np
 
 
 def _frequent_first(parts: int, known: np.ndarray, count: np.ndarray):
-    """Answer what is asked of frequent words; pack the rest by hash partition."""
+    """Answer what is asked of frequent words; pack the rest by hash partition. What is asked of a fold's counts (a column of
+    ``count``) has the fold in its coefficient: plus or minus 1 + fold."""
 
     def run(batches):
         for b in batches:
@@ -233,7 +247,7 @@ def _frequent_first(parts: int, known: np.ndarray, count: np.ndarray):
                 owner = np.repeat(np.arange(len(docs)), runs)
                 at = np.minimum(np.searchsorted(known, w), max(len(known) - 1, 0))
                 hit = known[at] == w if len(known) else np.zeros(len(w), bool)
-                s = s + np.bincount(owner[hit], coef[hit] * np.log(count[at[hit]]), len(docs))
+                s = s + np.bincount(owner[hit], np.sign(coef[hit]) * np.log(count[at[hit], np.abs(coef[hit]) - 1]), len(docs))
                 yield _result(-1, docs, runs * 0, w[:0], coef[:0], s).to_batches()[0]
                 rest = ~hit
                 packed = _pack((w[rest] % np.uint64(parts)).astype(np.int64), docs[owner[rest]], [w[rest], coef[rest]],
@@ -308,16 +322,144 @@ def score_documents(docs: DataFrame, corpus: DataFrame | None = None, alpha: flo
     else:
         asked = src.mapInArrow(_score_rows(parts, hot), PACKED)
         seen = pairs.groupBy("part").cogroup(asked.groupBy("part")).applyInArrow(_seen_in_corpus(alpha, total), ASKED)
-    own, settle = _own_asks(total, closed, alpha, hot, pair_count), _frequent_first(rare_parts, known, count)
+    own, settle = _own_asks(total, closed, alpha, hot, pair_count), _frequent_first(rare_parts, known, count[:, None])
     asks = src.mapInArrow(lambda batches: settle(own(batches)), ASKED)
     # in a closed corpus the pairs ask nothing more
-    settled = scratch.table(asks.union(seen if closed else seen.mapInArrow(settle, ASKED)))
-    rare = table.select(F.expr(f"cast(pmod(w % {rare_parts} + if(w < 0, {(1 << 64) % rare_parts}, 0), {rare_parts}) as int)").alias("part"), "w", "n")
+    return _totals(scratch, src, asks.union(seen if closed else seen.mapInArrow(settle, ASKED)),
+                   table.select(_part_of("w", rare_parts), "w", "n"), _answer)
+
+
+def _part_of(word: str, parts: int):
+    """The hash partition of a word: its hash as an unsigned number, modulo ``parts``."""
+    return F.expr(f"cast(pmod({word} % {parts} + if({word} < 0, {(1 << 64) % parts}, 0), {parts}) as int)").alias("part")
+
+
+def _totals(scratch: Scratch, src: DataFrame, asked: DataFrame, rare: DataFrame, answer) -> DataFrame:
+    """Scores by document from what is settled and what is still asked of the table of rare words."""
+    settled = scratch.table(asked)
     answers = rare.groupBy("part").cogroup(settled.where("part >= 0").groupBy("part")).applyInArrow(
-        _answer, "doc_id long, s double")
+        answer, "doc_id long, s double")
     sums = settled.where("part < 0").mapInArrow(_sums_of, "doc_id long, s double").union(answers)
     size = src.select("doc_id", F.size("words").cast("long").alias("n"), F.lit(0.0).alias("s"))
     out = sums.select("doc_id", F.lit(0).cast("long").alias("n"), "s").union(size).groupBy("doc_id").agg(
         F.sum("n").alias("n_words"), F.sum("s").alias("log_score"))
     return out.select(F.when(F.col("doc_id") != _NO_ID, F.col("doc_id")).alias("doc_id"), "n_words", "log_score",
                       (F.col("log_score") / F.nullif("n_words", F.lit(0))).alias("mean_log_score"))
+
+
+def _asks_by_fold(rest: np.ndarray, alpha: float, hot: np.ndarray, count: np.ndarray):
+    """What documents ask of the other folds' unigram counts for their first word and for their frequent pairs."""
+
+    def run(batches):
+        for b in _slices(batches):
+            w, _, first, _, pair, g = _pairs(b)
+            at, hit = _find(hot, g)
+            pair = pair[hit]
+            size, whole = np.diff(b.column("words").offsets.to_numpy()), b.column("fold").to_numpy()
+            fold = _folds_of(b, np.arange(len(w)))
+            n = count[at[hit], fold[pair]]
+            coef = first.astype(np.int64)
+            coef[pair[n > 0] - 1] -= 1
+            coef[pair[n == 0]] += 1
+            use = coef != 0
+            ends = np.append(0, np.cumsum(use))
+            stop = np.cumsum(size)
+            log_n = np.where(n > 0, np.log(np.maximum(n, 1)), math.log(alpha) - rest[fold[pair]])
+            s = np.where(size > 0, -rest[whole], 0.0) + np.bincount(np.repeat(np.arange(len(size)), size)[pair], log_n, len(size))
+            yield _result(-1, b.column("doc_id").to_numpy(), ends[stop] - ends[stop - size], w[use],
+                          (coef * (1 + fold))[use], s).to_batches()[0]
+
+    return run
+
+
+def _rows_by_fold(parts: int, hot: np.ndarray):
+    """Rare bigrams as both words, packed by hash partition and fold."""
+
+    def run(batches):
+        for b in _slices(batches):
+            w, doc, _, _, at, g = _pairs(b)
+            rare = ~_find(hot, g)[1]
+            at, g = at[rare], g[rare]
+            key = (g % np.uint64(parts)).astype(np.int64) * FOLDS + _folds_of(b, at)
+            rows = _pack(key, doc[at], [w[at - 1], w[at]], ["part", "docs", "runs", "a", "b"])
+            key = rows.column("part").to_numpy()
+            yield pa.RecordBatch.from_arrays([pa.array(key // FOLDS, pa.int32()), *rows.columns[1:], pa.array(key % FOLDS, pa.int32())],
+                                             names=[*rows.schema.names, "fold"])
+
+    return run
+
+
+def _seen_in_folds(rest: np.ndarray, alpha: float):
+    """Bigrams of one hash partition, each scored by its count in the other folds."""
+
+    def run(t: pa.Table) -> pa.Table:
+        v, w, runs = _joined(t, "a", np.uint64), _joined(t, "b", np.uint64), _joined(t, "runs", np.int32)
+        fold = np.repeat(column(t, "fold").to_numpy(), pc.binary_length(column(t, "a")).to_numpy() // 8).astype(np.int8)
+        g = _bigrams(v, w)
+        order = np.lexsort((fold, g))
+        new = np.append(True, np.diff(g[order]) != 0)[:len(g)]
+        own = new | np.append(True, np.diff(fold[order]) != 0)[:len(g)]
+        total, mine = (np.diff(np.append(np.flatnonzero(x), len(g))) for x in (new, own))
+        n = np.empty(len(g), np.int64)
+        n[order] = np.repeat(total, total) - np.repeat(mine, mine)
+        seen = n > 0
+        s = np.where(seen, np.log(np.maximum(n, 1)), math.log(alpha) - rest[fold])
+        coef = np.where(seen, -1, 1) * (1 + fold)
+        return _result(-1, _joined(t, "docs", np.int64), runs, np.where(seen, v, w), coef, _sums(runs, s))
+
+    return run
+
+
+def _answer_folds(counted: pa.Table, asked: pa.Table) -> pa.Table:
+    """As ``_answer``, by the counts of the other folds."""
+    if not asked.num_rows:
+        return pa.table({"doc_id": pa.array([], pa.int64()), "s": pa.array([], pa.float64())})
+    key = column(counted, "w").to_numpy(zero_copy_only=False).view(np.uint64)
+    fold = column(counted, "fold").to_numpy(zero_copy_only=False).astype(np.int64)
+    n = column(counted, "n").to_numpy(zero_copy_only=False)
+    order = np.lexsort((fold, key))
+    key, fold, n = key[order], fold[order], n[order]
+    start = np.flatnonzero(np.append(True, key[1:] != key[:-1])[:len(key)])
+    total = np.add.reduceat(n, start) if len(n) else n
+    place = np.repeat(np.arange(len(start)), np.diff(np.append(start, len(key)))) * FOLDS + fold
+    w, coef, runs = _joined(asked, "a", np.uint64), _joined(asked, "b", np.int8).astype(np.int64), _joined(asked, "runs", np.int32)
+    c = np.zeros(len(w), np.int64)
+    at, hit = _find(key[start], w)
+    c[hit] = total[at[hit]]
+    at, hit = _find(place, np.where(hit, at * FOLDS + np.abs(coef) - 1, -1))
+    c[hit] -= n[at[hit]]
+    return pa.table({"doc_id": pa.array(_joined(asked, "docs", np.int64)),
+                     "s": pa.array(_sums(runs, np.sign(coef) * np.log(np.maximum(c, 1))))})
+
+
+def score_by_folds(docs: DataFrame, alpha: float = 0.4, part_grams: int = FOLD_PART_GRAMS,
+                   frequent: int = FREQUENT) -> DataFrame:
+    """As ``score_documents``, but no document is scored by its own words: the corpus is cut into ``FOLDS`` folds by the id, and
+    a document's corpus is all folds but its own (repeated ids are in one fold). Pairs that the other folds
+    do not have back off to their second word.
+    """
+    spark = docs.sparkSession
+    scratch = Scratch(spark, "lm")
+    ident = F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID))
+    digit = F.conv(F.substring(F.md5(ident.cast("string").cast("binary")), 1, 1), 16, 10).cast("int")
+    src = docs.select(ident.alias("doc_id"), digit.alias("fold"), word_hashes("text").alias("words"))
+    table = scratch.table(src.select("fold", F.explode("words").alias("w")).groupBy("fold", "w").agg(F.count(F.lit(1)).alias("n")))
+    sizes = np.zeros(FOLDS, np.int64)
+    for r in table.groupBy("fold").agg(F.sum("n").alias("n")).collect():  # at most FOLDS rows
+        sizes[r.fold] = r.n
+    total = int(sizes.sum())
+    rest = np.log(np.maximum(total - sizes, 1))
+    top = scratch.table(table.groupBy("w").agg(F.sum("n").alias("t")).orderBy(F.desc("t"), "w").limit(frequent))
+    t = table.join(F.broadcast(top), "w").select("w", "fold", "n").toArrow()
+    known, at = np.unique(t.column("w").to_numpy().view(np.uint64), return_inverse=True)
+    own = np.zeros((len(known), FOLDS), np.int64)
+    own[at, t.column("fold").to_numpy()] = t.column("n").to_numpy()
+    count = np.maximum(own.sum(axis=1, keepdims=True) - own, 1)
+    hot, pairs = _frequent_pairs(src, None, frequent, FOLDS)
+    pairs = pairs.sum(axis=1, keepdims=True) - pairs
+    parts = max(12, -(-total // part_grams))
+    rare_parts = max(12, -(-(total - int(own.sum())) // part_grams))
+    asks, settle = _asks_by_fold(rest, alpha, hot, pairs), _frequent_first(rare_parts, known, count)
+    seen = src.mapInArrow(_rows_by_fold(parts, hot), PACKED + ", fold int").groupBy("part").applyInArrow(_seen_in_folds(rest, alpha), ASKED)
+    asked = src.mapInArrow(lambda batches: settle(asks(batches)), ASKED).union(seen.mapInArrow(settle, ASKED))
+    return _totals(scratch, src, asked, table.select(_part_of("w", rare_parts), "fold", "w", "n"), _answer_folds)

@@ -41,13 +41,20 @@ def op5_quality_classifier(spark: SparkSession, d: str) -> DataFrame:
     return quality.score_documents(read_table(spark, d, "documents"), read_table(spark, d, "labels"))
 
 
-def op6_lm_scoring(spark: SparkSession, d: str) -> DataFrame:
-    s = ngram_lm.score_documents(read_table(spark, d, "documents"))
+def _lm_scores(s: DataFrame) -> DataFrame:
     # sums differ in the last digits with the order of addition
     return s.select("doc_id", "n_words", F.round("log_score", 4).alias("log_score"),
                     F.round("mean_log_score", 6).alias("mean_log_score"))
 
 
+def op6_lm_scoring(spark: SparkSession, d: str) -> DataFrame:
+    return _lm_scores(ngram_lm.score_documents(read_table(spark, d, "documents")))
+
+
+def op6_lm_scoring_by_folds(spark: SparkSession, d: str) -> DataFrame:
+    return _lm_scores(ngram_lm.score_by_folds(read_table(spark, d, "documents")))
+
+
 def op7_url_filters(spark: SparkSession, d: str) -> DataFrame:
     return urls.judge_urls(read_table(spark, d, "pages"), urls.rules_frame(spark, URL_RULES))
 
@@ -134,5 +141,32 @@ FROM t LEFT JOIN s ON t.doc_id = s.doc_id GROUP BY t.doc_id, t.n_words
 """
 
 
+OP6_FOLDS_SQL = """
+WITH w AS (
+    SELECT coalesce(doc_id, -9223372036854775808) AS doc_id, [x for x in regexp_split_to_array(coalesce(text, ''), '\\s+') if x <> ''] AS ws
+    FROM documents
+), d AS (
+    SELECT *, md5(doc_id::VARCHAR)[1] AS f FROM w
+), g AS (
+    SELECT doc_id, f, i, ws[i - 1] AS v, ws[i] AS x FROM (SELECT doc_id, f, ws, unnest(range(1, len(ws) + 1)) AS i FROM d)
+), uf AS (SELECT f, x, count(*) AS n FROM g GROUP BY f, x), u AS (SELECT x, sum(n) AS n FROM uf GROUP BY x),
+bf AS (SELECT f, v, x, count(*) AS n FROM g WHERE i > 1 GROUP BY f, v, x), b AS (SELECT v, x, sum(n) AS n FROM bf GROUP BY v, x),
+nf AS (SELECT f, greatest((SELECT sum(n) FROM uf) - sum(n), 1)::DOUBLE AS n FROM uf GROUP BY f),
+c AS (
+    SELECT g.doc_id, g.i, nf.n AS words, greatest(ux.n - xf.n, 1) AS cx, greatest(coalesce(uv.n - vf.n, 1), 1) AS cv,
+           coalesce(b.n - bf.n, 0) AS cb
+    FROM g JOIN nf ON g.f = nf.f JOIN u ux ON g.x = ux.x JOIN uf xf ON g.f = xf.f AND g.x = xf.x
+    LEFT JOIN u uv ON g.v = uv.x LEFT JOIN uf vf ON g.f = vf.f AND g.v = vf.x
+    LEFT JOIN b ON g.i > 1 AND g.v = b.v AND g.x = b.x LEFT JOIN bf ON g.i > 1 AND g.f = bf.f AND g.v = bf.v AND g.x = bf.x
+), s AS (
+    SELECT doc_id, sum(CASE WHEN i = 1 THEN ln(cx / words) WHEN cb > 0 THEN ln(cb / cv::DOUBLE) ELSE ln(0.4 * cx / words) END) AS s
+    FROM c GROUP BY doc_id
+), t AS (SELECT doc_id, sum(len(ws))::BIGINT AS n_words FROM w GROUP BY doc_id)
+SELECT nullif(t.doc_id, -9223372036854775808) AS doc_id, t.n_words, round(coalesce(s.s, 0), 4) AS log_score,
+       round(s.s / nullif(t.n_words, 0), 6) AS mean_log_score
+FROM t LEFT JOIN s ON t.doc_id = s.doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_top_k": OP2_SQL, "op6_lm_scoring": OP6_SQL, "op7_url_filters": OP7_SQL}
+    return {"op2_exact_top_k": OP2_SQL, "op6_lm_scoring": OP6_SQL, "op6_lm_scoring_by_folds": OP6_FOLDS_SQL, "op7_url_filters": OP7_SQL}

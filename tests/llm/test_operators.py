@@ -231,6 +231,28 @@ def test_frequent_pairs_stay_out_of_the_hash_partitions(spark, monkeypatch):
                             + 2 * math.log(0.4 / 120), abs_tol=1e-6)
 
 
+def test_documents_are_not_scored_by_their_own_words(spark, odd_docs, no_docs):
+    extra = [(100 + i, f"zq{i} zr{i} zs{i} one two three") for i in range(30)] + [(100 + i, BASE) for i in range(5)]
+    df = odd_docs.select("doc_id", "text").union(spark.createDataFrame(extra, "doc_id long, text string")).cache()
+    got = {r.doc_id: r for r in ngram_lm.score_by_folds(df, frequent=5, part_grams=50).collect()}
+    assert set(got) == {r.doc_id for r in df.collect()}
+    fold = {i: hashlib.md5(str(i if i is not None else -(1 << 63)).encode()).hexdigest()[0] for i in got}
+    texts = [(fold[r.doc_id], (r.text or "").split()) for r in df.collect()]
+    want, size = dict.fromkeys(got, 0.0), dict.fromkeys(got, 0)
+    for r in df.collect():
+        rest = [t for f, t in texts if f != fold[r.doc_id]]
+        n, pairs = Counter(w for t in rest for w in t), Counter(p for t in rest for p in zip(t, t[1:]))
+        t = (r.text or "").split()
+        for p in zip([None, *t], t):
+            back = (0.4 if p[0] is not None else 1) * max(n[p[1]], 1) / max(n.total(), 1)
+            want[r.doc_id] += math.log(pairs[p] / n[p[0]] if pairs[p] else back)
+        size[r.doc_id] += len(t)
+    assert {i: r.n_words for i, r in got.items()} == size
+    assert all(math.isclose(got[i].log_score, want[i], abs_tol=1e-6) for i in got)
+    assert got[9].mean_log_score < got[2].mean_log_score  # words nobody else has do not score best
+    assert ngram_lm.score_by_folds(no_docs).count() == 0
+
+
 def test_url_verdicts(spark):
     rows = [(1, "http://a.net/x", '<link rel="canonical" href="http://b.com/de/1">'),
             (2, "http://c.net/y", '<meta http-equiv="refresh" content="0; url=/x2">'),
