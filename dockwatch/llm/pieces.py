@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +24,8 @@ LONG = 48
 BLOCK_BYTES = 48 << 20
 #: Units (counted once per block) of a partition of the lattice.
 PART_UNITS = 200_000
+#: Bytes of ids decoded at a time.
+ID_BYTES = 4 << 20
 NO_ID = -(1 << 63)
 
 
@@ -327,15 +331,22 @@ def encode(docs: DataFrame, model: Model, block_bytes: int = BLOCK_BYTES) -> Dat
     return blocks.drop("units").groupBy("block").cogroup(known.groupBy("of")).applyInArrow(_apply, "doc_id long, ids array<int>")
 
 
+def _speller(model: Model):
+    spell: dict[int, bytes] = {i: p.encode() for p, i, _ in model.pieces} | {i: bytes([b]) for b, i in model.byte_ids.items()}
+    mark = SPACE.encode()
+
+    def text(ids: list[int] | None) -> str:
+        raw = b"".join(spell.get(i, b" \xe2\x81\x87 ") for i in ids or [])
+        return raw.replace(mark, b" ").decode("utf-8", "replace").removeprefix(" ")
+
+    return text
+
+
 def _decode(model: Model):
     def run(batches):
-        spell: dict[int, bytes] = {i: p.encode() for p, i, _ in model.pieces} | {i: bytes([b]) for b, i in model.byte_ids.items()}
-        mark = SPACE.encode()
+        text = _speller(model)
         for b in batches:
-            texts = []
-            for ids in b.column("ids").to_pylist():
-                raw = b"".join(spell.get(i, b" \xe2\x81\x87 ") for i in ids or [])
-                texts.append(raw.replace(mark, b" ").decode("utf-8", "replace").removeprefix(" "))
+            texts = [text(ids) for ids in b.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(texts, pa.string())], names=["doc_id", "text"])
 
     return run
@@ -344,3 +355,26 @@ def _decode(model: Model):
 def decode(encoded: DataFrame, model: Model) -> DataFrame:
     """(doc_id, text) of (doc_id, ids); null and empty ids give an empty text, an unknown id U+2047 between spaces."""
     return encoded.select("doc_id", "ids").mapInArrow(_decode(model), "doc_id long, text string")
+
+
+def _digest(model: Model):
+    def run(batches):
+        text = _speller(model)
+        for whole in batches:
+            for b in list_slices(whole, "ids", ID_BYTES):
+                sha, size = [], []
+                for ids in b.column("ids").to_pylist():
+                    t = text(ids)
+                    sha.append(hashlib.sha256(t.encode()).hexdigest())
+                    size.append(len(t))
+                yield pa.RecordBatch.from_arrays(
+                    [*b.columns, pc.list_value_length(b.column("ids")), pa.array(sha, pa.string()), pa.array(size, pa.int64())],
+                    names=[*b.schema.names, "n_ids", "text_sha256", "text_length"])
+
+    return run
+
+
+def with_decoded(encoded: DataFrame, model: Model) -> DataFrame:
+    """(doc_id, ids) with the number of ids, and the sha256 (of UTF-8) and length in characters of the text decoded from them."""
+    return encoded.select("doc_id", "ids").mapInArrow(
+        _digest(model), "doc_id long, ids array<int>, n_ids int, text_sha256 string, text_length long")

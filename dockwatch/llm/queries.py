@@ -21,8 +21,7 @@ WORD_BPE = "word_bpe_49k.json"
 
 def op1_sentencepiece(spark: SparkSession, d: str) -> DataFrame:
     model = pieces.Model.load(packing.tokenizer_path("piece_bpe_32k.model"))
-    ids = pieces.encode(read_table(spark, d, "documents"), model)
-    return ids.withColumn("n_ids", F.size("ids"))
+    return pieces.with_decoded(pieces.encode(read_table(spark, d, "documents"), model), model)
 
 
 def op2_exact_top_k(spark: SparkSession, d: str) -> DataFrame:

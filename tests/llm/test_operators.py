@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 
 from dockwatch.llm import chat, embedding_dups, jaccard, ngram_lm, packing, pieces, quality, topk, toxicity, urls
+from dockwatch.llm import queries
 from dockwatch.llm.queries import URL_RULES
 
 DOCS = "doc_id long, text string, score double, cls string, s long"  # with names the operators use inside
@@ -45,6 +46,17 @@ def test_pieces_match_the_library_and_decode(spark, odd_docs, no_docs):
     assert pieces.encode(no_docs, model).count() == 0
 
 
+def test_pieces_query_decodes_its_ids(spark, odd_docs, tmp_path):
+    odd_docs.write.parquet(f"{tmp_path}/documents.parquet")
+    rows = queries.op1_sentencepiece(spark, str(tmp_path)).collect()
+    texts = {r.doc_id: r.text or "" for r in odd_docs.collect()}
+    assert len(rows) == odd_docs.count()
+    for r in rows:
+        text = texts[r.doc_id]
+        assert (r.n_ids, r.text_length) == (len(r.ids), len(text))
+        assert r.text_sha256 == hashlib.sha256(text.encode()).hexdigest()
+
+
 def test_unigram_pieces_take_the_best_path(spark):
     model = pieces.Model([("▁", 1, -3.0), ("a", 2, -2.0), ("b", 3, -2.0), ("ab", 4, -2.5), ("▁a", 5, -3.5), ("ba", 6, -1.0), ("aba", 7, -4.9)],
                          {}, 0, 3, "unigram")
