@@ -32,8 +32,8 @@ def labelled_ids(labels: DataFrame, label: str, folds: int, held_out: int, rows:
 
 
 def unlabelled_ids(docs: DataFrame, folds: int, held_out: int, rows: int) -> DataFrame:
-    """At most ``rows`` doc_ids of ``docs``, those of the smallest hashes, outside the held-out fold."""
-    ids = docs.where(fold("doc_id", folds) != held_out).select("doc_id")
+    """At most ``rows`` distinct doc_ids of ``docs``, those of the smallest hashes, outside the held-out fold."""
+    ids = docs.where(fold("doc_id", folds) != held_out).select("doc_id").distinct()
     return ids.orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id").limit(rows)
 
 

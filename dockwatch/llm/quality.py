@@ -105,7 +105,8 @@ class PuModel:
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> PuModel | None:
-    """Fit on at most ``rows`` trusted positives and ``rows`` unlabelled documents, none held out.
+    """Fit on at most ``rows`` trusted positives and ``rows`` unlabelled documents, none held out; an id that
+    repeats is one document.
 
     Only positive labels train the classifier. The class prior is the share of positives among the labelled
     rows of the same bounded sample, kept inside (0.01, 0.99). None without a positive.
@@ -115,9 +116,12 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> PuModel
     n, n1 = ids.agg(F.count(F.lit(1)), F.count_if(F.col("y") == 1)).first()
     if not n1:
         return None
-    web = scratch.table(unlabelled_ids(docs, FOLDS, HELD_OUT, rows).distinct())
+    web = scratch.table(unlabelled_ids(docs, FOLDS, HELD_OUT, rows))
     wanted = ids.where("y = 1").select("doc_id", F.lit(1).alias("kind")).union(web.select("doc_id", F.lit(0)))
-    sample = docs.select("doc_id", "text").join(F.broadcast(wanted), "doc_id")
+    # one text of a repeated id: the smallest
+    texts = docs.select("doc_id", "text").join(F.broadcast(wanted), "doc_id", "left_semi").groupBy("doc_id").agg(
+        F.min("text").alias("text"))
+    sample = texts.join(F.broadcast(wanted), "doc_id")
     x = with_features(sample, "text", features, ["kind"]).toArrow()  # at most 2 * rows feature vectors
     kind = x.column("kind").to_numpy()
     if not (kind == 1).any() or not (kind == 0).any():

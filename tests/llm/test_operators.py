@@ -196,6 +196,16 @@ def test_quality(spark, no_docs):
     assert quality.score_documents(no_docs, lab).count() == 0
 
 
+def test_quality_sample_holds_an_id_once(spark, monkeypatch):
+    rows = [(i, f"plain words of text {i}") for i in range(80)]
+    docs = spark.createDataFrame(rows + [(j, "AGAIN " * 9) for j in range(80) for _ in range(30)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, float(i % 2)) for i in range(60)], "doc_id long, quality double")
+    sizes = []
+    monkeypatch.setattr(quality.PuModel, "fit", lambda p, u, prior: sizes.append((len(p), len(u))))
+    quality.fit(docs, labels, rows=20)
+    assert sizes and sizes[0][0] <= 20 and sizes[0][1] == 20
+
+
 def test_backoff_scores(spark, odd_docs, no_docs):
     def brute(docs, corpus, alpha=0.4):
         u, b = Counter(), Counter()
