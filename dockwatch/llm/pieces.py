@@ -307,8 +307,9 @@ def _apply(docs: pa.Table, words: pa.Table) -> pa.Table:
     return pa.concat_tables(out) if out else pa.table({"doc_id": pa.array([], pa.int64()), "ids": pa.array([], pa.list_(pa.int32()))})
 
 
-def encode(docs: DataFrame, model: Model, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """(doc_id, ids) of every whole text.
+def encode(docs: DataFrame, model: Model, block_bytes: int = BLOCK_BYTES, decoded: bool = False) -> DataFrame:
+    """(doc_id, ids) of every whole text; with ``decoded`` also n_ids, and text_sha256 (of UTF-8) and text_length (in
+    characters) of the text decoded from the ids, by the task that put them together.
 
     Texts are cut into units and written once, in blocks of about ``block_bytes``: places in the block's dictionary,
     compressed. The distinct units of all blocks are encoded once by the lattice, and their ids go back to the blocks: a unit
@@ -328,7 +329,12 @@ def encode(docs: DataFrame, model: Model, block_bytes: int = BLOCK_BYTES) -> Dat
     words = encode_units(short.select("unit").repartition(parts, "unit").distinct(), model)
     known = short.repartition(parts, "unit").join(words, "unit").select(F.col("block").alias("of"), "pos", "ids").union(
         long.mapInArrow(_encode_long(model), "of long, pos int, ids array<int>"))
-    return blocks.drop("units").groupBy("block").cogroup(known.groupBy("of")).applyInArrow(_apply, "doc_id long, ids array<int>")
+    both = blocks.drop("units").groupBy("block").cogroup(known.groupBy("of"))
+    if not decoded:
+        return both.applyInArrow(_apply, "doc_id long, ids array<int>")
+    digest = _digest(model)
+    return both.applyInArrow(lambda docs, words: digest(_apply(docs, words)),
+                             "doc_id long, ids array<int>, n_ids int, text_sha256 string, text_length long")
 
 
 def _speller(model: Model):
@@ -358,23 +364,17 @@ def decode(encoded: DataFrame, model: Model) -> DataFrame:
 
 
 def _digest(model: Model):
-    def run(batches):
+    def run(t: pa.Table) -> pa.Table:
         text = _speller(model)
-        for whole in batches:
+        sha, size = [], []
+        for whole in t.to_batches():
             for b in list_slices(whole, "ids", ID_BYTES):
-                sha, size = [], []
                 for ids in b.column("ids").to_pylist():
-                    t = text(ids)
-                    sha.append(hashlib.sha256(t.encode()).hexdigest())
-                    size.append(len(t))
-                yield pa.RecordBatch.from_arrays(
-                    [*b.columns, pc.list_value_length(b.column("ids")), pa.array(sha, pa.string()), pa.array(size, pa.int64())],
-                    names=[*b.schema.names, "n_ids", "text_sha256", "text_length"])
+                    one = text(ids)
+                    sha.append(hashlib.sha256(one.encode()).hexdigest())
+                    size.append(len(one))
+        n = pc.list_value_length(t.column("ids"))
+        return (t.append_column("n_ids", n).append_column("text_sha256", pa.array(sha, pa.string()))
+                .append_column("text_length", pa.array(size, pa.int64())))
 
     return run
-
-
-def with_decoded(encoded: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, ids) with the number of ids, and the sha256 (of UTF-8) and length in characters of the text decoded from them."""
-    return encoded.select("doc_id", "ids").mapInArrow(
-        _digest(model), "doc_id long, ids array<int>, n_ids int, text_sha256 string, text_length long")

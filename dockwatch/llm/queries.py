@@ -21,7 +21,7 @@ WORD_BPE = "word_bpe_49k.json"
 
 def op1_sentencepiece(spark: SparkSession, d: str) -> DataFrame:
     model = pieces.Model.load(packing.tokenizer_path("piece_bpe_32k.model"))
-    return pieces.with_decoded(pieces.encode(read_table(spark, d, "documents"), model), model)
+    return pieces.encode(read_table(spark, d, "documents"), model, decoded=True)
 
 
 def op2_exact_top_k(spark: SparkSession, d: str) -> DataFrame:
