@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dockwatch.llm import chat, embedding_dups, jaccard, ngram_lm, packing, pieces, quality, topk, toxicity, urls
+from dockwatch.llm import (
+    chat, embedding_dups, importance, jaccard, ngram_lm, packing, pieces, quality, topk, toxicity, urls,
+)
 from dockwatch.llm.shared import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,6 +77,11 @@ def op10_chat_formatting(spark: SparkSession, d: str) -> DataFrame:
     return chat.read_back(tree, paths)
 
 
+def op13_importance_resampling(spark: SparkSession, d: str) -> DataFrame:
+    drawn = importance.resample(read_table(spark, d, "documents"), read_table(spark, d, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 def queries() -> dict[str, Query]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
@@ -167,5 +174,51 @@ FROM t LEFT JOIN s ON t.doc_id = s.doc_id
 """
 
 
+# CRC-32 by a fold over the bytes of each distinct run of words
+OP13_SQL = r"""
+WITH crc_table AS (
+    SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+                            lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+    FROM (SELECT unnest(range(256)) AS i)
+), words AS (
+    SELECT *, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                 '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM (SELECT row_number() OVER () AS row, true AS own, doc_id, text FROM documents
+          UNION ALL SELECT NULL, false, NULL, text FROM benchmark)
+), runs AS (
+    SELECT row, own, unnest(list_concat(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])),
+        list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))) AS f
+    FROM words
+), features AS (
+    SELECT row, own, f, count(*) AS n FROM runs GROUP BY ALL
+), hashed AS (
+    SELECT f, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, len(x) // 2 + 1),
+                      lambda i: ('0x' || x[2 * i - 1:2 * i])::BIGINT)),
+                  lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 10000 AS bucket
+    FROM (SELECT f, hex(encode(f)) AS x FROM (SELECT DISTINCT f FROM features)), crc_table
+), totals AS (
+    SELECT bucket, sum(n) FILTER (own) AS s, sum(n) FILTER (NOT own) AS t FROM features JOIN hashed USING (f) GROUP BY bucket
+), gains AS (
+    SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * (sum(s) OVER () + 10000)::DOUBLE
+               / ((coalesce(s, 0) + 1)::DOUBLE * (coalesce(sum(t) OVER (), 0) + 10000)::DOUBLE)))::BIGINT AS gain
+    FROM totals
+), weights AS (
+    SELECT row, sum(n)::BIGINT AS n_features, sum(n * gain)::BIGINT AS weight
+    FROM features JOIN hashed USING (f) JOIN gains USING (bucket) WHERE own GROUP BY row
+), scored AS (
+    SELECT doc_id, len(w) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+           coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || sha256('42:' || coalesce(doc_id::VARCHAR, ''))[1:8])::BIGINT + 0.5::DOUBLE)
+                                                      / 4294967296::DOUBLE)))::BIGINT AS score
+    FROM words LEFT JOIN weights USING (row) WHERE own
+), places AS (
+    SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id) AS place,
+           5 * count(*) FILTER (n_words >= 20) OVER () // 100 AS drawn
+    FROM scored
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_words >= 20 AND place <= drawn THEN place END AS rank FROM places
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_top_k": OP2_SQL, "op6_lm_scoring": OP6_SQL, "op6_lm_scoring_by_folds": OP6_FOLDS_SQL, "op7_url_filters": OP7_SQL}
+    return {"op2_exact_top_k": OP2_SQL, "op6_lm_scoring": OP6_SQL, "op6_lm_scoring_by_folds": OP6_FOLDS_SQL, "op7_url_filters": OP7_SQL,
+            "op13_importance_resampling": OP13_SQL}
