@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dockwatch.llm import (
-    chat, embedding_dups, importance, jaccard, ngram_lm, packing, pieces, quality, topk, toxicity, urls,
+    alignment, chat, embedding_dups, importance, jaccard, ngram_lm, packing, pieces, quality, topk, toxicity, urls,
 )
 from dockwatch.llm.shared import read_table
 
@@ -77,6 +77,14 @@ def op10_chat_formatting(spark: SparkSession, d: str) -> DataFrame:
     return chat.read_back(tree, paths)
 
 
+def op12_tokenizer_alignment(spark: SparkSession, d: str) -> DataFrame:
+    groups = F.col("groups")
+    return alignment.align(
+        read_table(spark, d, "documents"), lambda: packing.tokenizer_path("byte_bpe_50k.json"),
+        lambda: packing.tokenizer_path("piece_bpe_32k.model"),
+        groups_sha256=F.when(groups == "", "").otherwise(F.sha2(groups, 256)))
+
+
 def op13_importance_resampling(spark: SparkSession, d: str) -> DataFrame:
     drawn = importance.resample(read_table(spark, d, "documents"), read_table(spark, d, "benchmark"))
     return drawn.select("doc_id", "n_features", "weight", "score", "rank")
