@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dockwatch.llm import (
-    alignment, chat, embedding_dups, importance, jaccard, ngram_lm, packing, pieces, quality, topk, toxicity, urls,
+    alignment, chat, embedding_dups, fingerprints, importance, jaccard, ngram_lm, packing, pieces, quality, topk, toxicity, urls,
 )
 from dockwatch.llm.shared import read_table
 
@@ -77,6 +77,10 @@ def op10_chat_formatting(spark: SparkSession, d: str) -> DataFrame:
     return chat.read_back(tree, paths)
 
 
+def op11_fingerprints(spark: SparkSession, d: str) -> DataFrame:
+    return fingerprints.fingerprint_versions(read_table(spark, d, "documents"))
+
+
 def op12_tokenizer_alignment(spark: SparkSession, d: str) -> DataFrame:
     groups = F.col("groups")
     return alignment.align(
