@@ -11,10 +11,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dockwatch.functions.timeexpr import bucket_micros, micros
-
-# A reading as one orderable value: newest (window_start, emitted_at) wins.
-REC_FIELDS = ("ts", "em", "bikes", "docks", "ratio", "cap")
+from dockwatch.functions.timeexpr import BUCKET_ORIGIN_US, MINUTE_US, floor_to, micros
+from dockwatch.operators.newest import key_time, newest_aggs, newest_key, newest_record
+
+# Values of a newest reading (its struct has ``ts`` before them) and their columns.
+REC_VALUES = {
+    "bikes": "avg_bikes_available", "docks": "avg_docks_available",
+    "ratio": "avg_availability_ratio", "cap": "avg_capacity",
+}
 STAT_NAMES = ("n", "bsum", "bcnt", "bmin", "bmax", "rsum", "rcnt", "low", "ev", "rec")
 
 
@@ -25,6 +29,8 @@ def with_micros(readings: DataFrame) -> DataFrame:
 
 
 def reading_record() -> Column:
+    """A reading as one orderable value: the newest (window_start, emitted_at) is the largest. For
+    windows; an aggregate over raw readings takes ``operators.newest`` instead."""
     return F.struct(
         F.col("ts_us").alias("ts"),
         F.col("em_us").alias("em"),
@@ -36,8 +42,9 @@ def reading_record() -> Column:
 
 
 def piece_aggs(prefix: str, cond: Column | None = None,
-               stats: tuple[str, ...] = STAT_NAMES) -> list[Column]:
-    """Aggregates of one piece of a group (rows matching ``cond``)."""
+               stats: tuple[str, ...] = STAT_NAMES, key: Column | None = None) -> list[Column]:
+    """Aggregates of one piece of a group (rows matching ``cond``). ``rec`` needs the packed ``key`` and
+    is put together from its columns after the aggregation."""
 
     def v(c: str | Column) -> Column:
         col = F.col(c) if isinstance(c, str) else c
@@ -54,27 +61,50 @@ def piece_aggs(prefix: str, cond: Column | None = None,
         "rcnt": F.count(v(ratio)),
         "low": F.sum(v("low_availability_events")),
         "ev": F.sum(v("event_count")),
-        "rec": F.max(v(reading_record())),
     }
-    return [defs[s].alias(f"{prefix}_{s}") for s in stats]
+    out = [defs[s].alias(f"{prefix}_{s}") for s in stats if s != "rec"]
+    if "rec" in stats:
+        out += newest_aggs(key, {n: F.col(c) for n, c in REC_VALUES.items()}, f"{prefix}_rec", cond)
+    return out
 
 
 def bucket_rollup(readings: DataFrame, interval_min: int, min_capacity: float | None = None,
-                  split_at_start: bool = True) -> DataFrame:
-    """Group readings by (station_id, bucket start ``b``).
+                  split_at_start: bool = True, origin_us: int = BUCKET_ORIGIN_US) -> DataFrame:
+    """Group readings by (station_id, bucket start ``b``); buckets are counted from ``origin_us``. One
+    hash aggregate, the newest readings included.
 
     Columns: ``f_*`` over the whole bucket; with ``split_at_start`` also ``s_*``
     over rows exactly at the bucket start and ``a_n`` / ``a_bmin`` over the rows
     after it; with ``min_capacity`` a ``cap_ok`` flag (some reading has
     capacity >= min_capacity: the bucket is a grid point).
     """
-    r = with_micros(readings).withColumn("b", bucket_micros("ts_us", interval_min))
-    aggs = piece_aggs("f")
+    r = with_buckets(readings, interval_min, origin_us)
+    return rollup_rows(r, interval_min, min_capacity, split_at_start)
+
+
+def with_buckets(readings: DataFrame, interval_min: int, origin_us: int = BUCKET_ORIGIN_US) -> DataFrame:
+    """Add the bucket start ``b`` and the packed key ``k`` (see ``operators.newest``) of each reading."""
+    span = interval_min * MINUTE_US
+    r = with_micros(readings).withColumn("b", floor_to("ts_us", span, origin_us))
+    return r.withColumn("k", newest_key(F.col("ts_us"), F.col("em_us"), F.col("b"), span))
+
+
+def rollup_rows(r: DataFrame, interval_min: int, min_capacity: float | None = None,
+                split_at_start: bool = True) -> DataFrame:
+    """:func:`bucket_rollup` of rows that have ``b`` and ``k`` already."""
+    span = interval_min * MINUTE_US
+    key = F.col("k")
+    aggs, records = piece_aggs("f", key=key), ["f"]
     if split_at_start:
-        at_start = F.col("ts_us") == F.col("b")
-        aggs += piece_aggs("s", at_start)
+        at_start = key_time(key, F.col("b"), span) == F.col("b")
+        aggs += piece_aggs("s", at_start, key=key)
         aggs += piece_aggs("a", ~at_start, stats=("n", "bmin"))
+        records.append("s")
     if min_capacity is not None:
         aggs.append(F.max(F.when(F.col("avg_capacity") >= F.lit(min_capacity), 1).otherwise(0))
                     .alias("cap_ok"))
-    return r.groupBy("station_id", "b").agg(*aggs)
+    g = r.groupBy("station_id", "b").agg(*aggs)
+    parts = [f"{p}_rec_{n}" for p in records for n in ("key", *REC_VALUES)]
+    return g.select(*[c for c in g.columns if c not in parts],
+                    *[newest_record(f"{p}_rec", tuple(REC_VALUES), F.col("b"), span).alias(f"{p}_rec")
+                      for p in records])

@@ -1,11 +1,11 @@
 """Triage: score every active station at one instant, rank, report skips.
 
-Plan C: one pass over readings with ``window_start <= t`` (pushed to the
-scan) and a single ``groupBy(station_id)`` of filtered aggregates: the
-candidate flag, the as-of records at t and t - offsets, and the window
-statistics. Partial aggregation runs before the shuffle, so a hot station
-costs one partial row per map task. Output is one row per station; the
-per-station query loop of a single-machine design disappears.
+Plan C: one pass over the readings of ``[start of the day of t - 24h, t]`` (pushed to the scan). They are
+rolled up to 15-minute buckets counted from ``t`` (one hash aggregate with partial aggregation before the
+shuffle, so a hot station costs a few rows per map task), and a second, small aggregate by station puts
+the candidate flag, the as-of records and the window statistics together. Older readings are met through the
+station look-back index, a row per station and day. Output is one row per station; the per-station query
+loop of a single-machine design disappears. Nothing is cached and no job runs before the result is read.
 """
 
 from __future__ import annotations
@@ -16,14 +16,22 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dockwatch.functions.timeexpr import MINUTE_US, from_micros, ntz_literal, ts_literal_micros
-from dockwatch.operators.rollup import reading_record, with_micros
-from dockwatch.plans.features import LAG_FEATURES, LONG_WINDOW_MIN, SHORT_WINDOW_MIN, feature_exprs
+from dockwatch.operators.rollup import bucket_rollup
+from dockwatch.plans.features import (
+    LAG_FEATURES,
+    LONG_WINDOW_MIN,
+    SHORT_WINDOW_MIN,
+    W_LONG,
+    W_SHORT,
+    feature_exprs,
+)
+from dockwatch.plans.lookback import newest_before, station_days
 from dockwatch.plans.scoring import score_frame, status_columns
 from dockwatch.settings import DEFAULT_TOP_N, FEATURE_COLUMNS, MAX_TOP_N, STATUS_OK, Settings
 
 ACTIVE_LOOKBACK_MIN = 15
-# History scanned before the 24h window in the first triage pass (minutes).
-DEFAULT_LOOKBACK_MIN = 2 * 1440
+# Buckets counted from t (minutes): a common divisor of all offsets and windows.
+BUCKET_MIN = 15
 
 
 class TriageError(Exception):
@@ -42,72 +50,52 @@ def active_stations(readings: DataFrame, obs_ts: datetime, s: Settings) -> DataF
 
 
 def instant_parts(readings: DataFrame, obs_ts: datetime, s: Settings,
-                  lookback_min: int | None = DEFAULT_LOOKBACK_MIN) -> DataFrame:
+                  lookback_min: int | None = 0, index: DataFrame | None = None) -> DataFrame:
     """Per station with a reading in the scanned range: candidate flag and parts.
 
-    Only ``[t - 24h - lookback, t]`` is scanned (pushed to the Parquet scan).
-    As-of look-ups are unbounded, so candidates whose snapshot or a lag found
-    nothing in that range get the newest older reading from a second, narrower
-    pass (stations semi-joined); the second pass runs only when such a
-    candidate exists. ``lookback_min=None`` scans all history in one pass."""
-    t_lit = ntz_literal(obs_ts)
-    r = readings.filter(F.col("window_start") <= t_lit)
+    ``index`` is the station look-back index over at least all days before that of ``t - 24h``; without one it
+    is derived from the readings of those days. ``lookback_min`` more minutes of readings are scanned before the
+    windows; ``None`` scans all history in one pass, without an index."""
+    ws = F.col("window_start")
     if lookback_min is None:
-        return _instant_aggs(r, obs_ts, s)
-    lo = ntz_literal(obs_ts - timedelta(minutes=LONG_WINDOW_MIN + lookback_min))
-    parts = _instant_aggs(r.filter(F.col("window_start") >= lo), obs_ts, s).cache()
+        return _instant_aggs(readings.where(ws <= ntz_literal(obs_ts)), obs_ts, s)
+    first = obs_ts - timedelta(minutes=LONG_WINDOW_MIN + lookback_min)
+    day = first.replace(hour=0, minute=0, second=0, microsecond=0)
+    parts = _instant_aggs(readings.where((ws <= ntz_literal(obs_ts)) & (ws >= ntz_literal(day))), obs_ts, s)
+    if index is None:
+        index = station_days(readings.where(ws < ntz_literal(day)))
+    asked = parts.where("candidate = 1").select("station_id", F.lit(ts_literal_micros(day)).alias("day"))
+    j = parts.join(newest_before(asked, index).drop("day"), "station_id", "left")
     rec_cols = ["snap"] + [f"asof_{o}" for o in LAG_FEATURES]
-    missing = F.lit(False)
-    for c in rec_cols:
-        missing = missing | F.col(c).isNull()
-    need = parts.filter((F.col("candidate") == 1) & missing).select("station_id")
-    if need.limit(1).count() == 0:
-        return parts
-    old = (with_micros(readings.filter(F.col("window_start") < lo))
-           .join(need, "station_id", "left_semi")
-           .groupBy("station_id").agg(F.max(reading_record()).alias("__old")))
-    j = parts.join(old, "station_id", "left")
-    return j.select(*[F.greatest(F.col(c), F.col("__old")).alias(c) if c in rec_cols else F.col(c)
-                      for c in parts.columns])
+    return j.select(*[F.greatest(c, "old").alias(c) if c in rec_cols else F.col(c) for c in parts.columns])
 
 
 def _instant_aggs(readings: DataFrame, obs_ts: datetime, s: Settings) -> DataFrame:
-    t_us = ts_literal_micros(obs_ts)
-    t_lit = ntz_literal(obs_ts)
-    r = with_micros(readings)
-    ts = F.col("ts_us")
-    rec = reading_record()
-    bikes, ratio = F.col("avg_bikes_available"), F.col("avg_availability_ratio")
+    t = ts_literal_micros(obs_ts)
+    b, at = F.col("b"), F.col("b") == F.lit(t)
+    # the active range [t - 15m, t] is the bucket before t and the rows at t
+    roll = bucket_rollup(readings, BUCKET_MIN, s.min_capacity, split_at_start=True, origin_us=t)
     aggs = [
-        F.max(F.when((F.col("avg_capacity") >= F.lit(s.min_capacity))
-                     & (ts >= F.lit(t_us - ACTIVE_LOOKBACK_MIN * MINUTE_US)), 1).otherwise(0))
-        .alias("candidate"),
-        F.max(rec).alias("snap"),
+        F.max(F.when(b >= F.lit(t - ACTIVE_LOOKBACK_MIN * MINUTE_US), F.col("cap_ok")).otherwise(0)).alias("candidate"),
     ]
-    for o in LAG_FEATURES:
-        aggs.append(F.max(F.when(ts <= F.lit(t_us - o * MINUTE_US), rec)).alias(f"asof_{o}"))
-    in60 = ts >= F.lit(t_us - SHORT_WINDOW_MIN * MINUTE_US)
-    in24 = ts >= F.lit(t_us - LONG_WINDOW_MIN * MINUTE_US)
-    w = SHORT_WINDOW_MIN
-    aggs += [
-        F.sum(F.when(in60, bikes)).alias(f"w{w}_bsum"), F.count(F.when(in60, bikes)).alias(f"w{w}_bcnt"),
-        F.min(F.when(in60, bikes)).alias(f"w{w}_bmin"), F.max(F.when(in60, bikes)).alias(f"w{w}_bmax"),
-        F.sum(F.when(in60, ratio)).alias(f"w{w}_rsum"), F.count(F.when(in60, ratio)).alias(f"w{w}_rcnt"),
-    ]
-    w = LONG_WINDOW_MIN
-    aggs += [
-        F.sum(F.when(in24, bikes)).alias(f"w{w}_bsum"), F.count(F.when(in24, bikes)).alias(f"w{w}_bcnt"),
-        F.min(F.when(in24, bikes)).alias(f"w{w}_bmin"), F.max(F.when(in24, bikes)).alias(f"w{w}_bmax"),
-        F.sum(F.when(in24, F.col("low_availability_events"))).alias(f"w{w}_low"),
-        F.sum(F.when(in24, F.col("event_count"))).alias(f"w{w}_ev"),
-    ]
-    return r.groupBy("station_id").agg(*aggs).withColumn("obs_ts", t_lit)
+    for o, name in [(0, "snap"), *((o, f"asof_{o}") for o in LAG_FEATURES)]:
+        edge = F.lit(t - o * MINUTE_US)
+        aggs.append(F.max(F.when(b < edge, F.col("f_rec")).when(b == edge, F.col("s_rec"))).alias(name))
+    for wmin, stats in ((SHORT_WINDOW_MIN, W_SHORT), (LONG_WINDOW_MIN, W_LONG)):
+        inside = (b >= F.lit(t - wmin * MINUTE_US)) & (b < F.lit(t))
+        for st in stats:
+            fn = {"bmin": F.min, "bmax": F.max}.get(st, F.sum)
+            aggs.append(fn(F.when(inside, F.col(f"f_{st}")).when(at, F.col(f"s_{st}"))).alias(f"w{wmin}_{st}"))
+    g = roll.groupBy("station_id").agg(*aggs)
+    counts = [f"w{SHORT_WINDOW_MIN}_bcnt", f"w{SHORT_WINDOW_MIN}_rcnt", f"w{LONG_WINDOW_MIN}_bcnt"]
+    return g.select(*[F.coalesce(c, F.lit(0)).alias(c) if c in counts else F.col(c) for c in g.columns],
+                    ntz_literal(obs_ts).alias("obs_ts"))
 
 
 def candidate_features(readings: DataFrame, obs_ts: datetime, s: Settings,
-                       lookback_min: int | None = DEFAULT_LOOKBACK_MIN) -> DataFrame:
+                       lookback_min: int | None = 0, index: DataFrame | None = None) -> DataFrame:
     """Candidates with features, snapshot_source_ts and status."""
-    p = instant_parts(readings, obs_ts, s, lookback_min).filter(F.col("candidate") == 1)
+    p = instant_parts(readings, obs_ts, s, lookback_min, index).filter(F.col("candidate") == 1)
     ex = feature_exprs()
     return p.select(
         "station_id", "obs_ts",
@@ -123,7 +111,8 @@ def _check_top_n(top_n: int) -> None:
 
 
 def triage(readings: DataFrame, obs_ts: datetime, scorer, s: Settings | None = None,
-           top_n: int = DEFAULT_TOP_N, debug: bool = False) -> dict[str, DataFrame]:
+           top_n: int = DEFAULT_TOP_N, debug: bool = False,
+           index: DataFrame | None = None) -> dict[str, DataFrame]:
     """Ranked shortlist, skipped stations, skip-reason counts and the funnel.
 
     Scores are rounded to 6 places first; label and rank use the rounded score.
@@ -131,7 +120,7 @@ def triage(readings: DataFrame, obs_ts: datetime, scorer, s: Settings | None = N
     unique. The ranking is a TakeOrderedAndProject of top_n rows."""
     s = s or Settings()
     _check_top_n(top_n)
-    cand = candidate_features(readings, obs_ts, s)
+    cand = candidate_features(readings, obs_ts, s, index=index)
     ok = cand.filter(F.col("status") == STATUS_OK)
     scored = scorer.score(ok).withColumn("risk_score", F.round(F.col("raw_score"), 6))
     order = [F.desc("risk_score"), F.coalesce(F.col("ft_bikes_available"), F.lit(0.0)),
