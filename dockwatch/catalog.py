@@ -45,7 +45,7 @@ def oracle_sql() -> dict[str, str]:
 
 def _load_all() -> None:
     # query groups register themselves on import
-    from dockwatch import catalog_ml, catalog_model, catalog_more, catalog_serve  # noqa: F401
+    from dockwatch import catalog_ml, catalog_model, catalog_more, catalog_serve, catalog_stream  # noqa: F401
 
 
 S = QUERY_SETTINGS

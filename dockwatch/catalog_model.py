@@ -1,5 +1,5 @@
-"""Queries around the boosted-tree model and streaming scoring (no SQL oracle:
-the trees are fitted by MLlib; the driver checks rows only)."""
+"""Queries around the boosted-tree model (no SQL oracle: the trees are fitted by MLlib; the driver
+checks rows only)."""
 
 from __future__ import annotations
 
@@ -66,23 +66,3 @@ def q_triage_model(spark, d):
     out = T.triage(readings_for(spark, d), TRIAGE_TS, ModelScorer(_run(spark, d)["_model"]), S,
                    TRIAGE_TOP_N)
     return out["ranked"]
-
-
-@register("score_stream")
-def q_score_stream(spark, d):
-    """Requests written as files, scored by a Structured Streaming query in
-    micro-batches (availableNow), outputs read back."""
-    from dockwatch.ml.scorers import RuleScorer
-    from dockwatch.streaming.score_stream import score_stream
-
-    root = ensure_checkpoint_dir(spark).rstrip("/") + "/dockwatch-stream"
-    import uuid
-    base = f"{root}/{uuid.uuid4().hex}"
-    r = readings_for(spark, d)
-    reqs = derived_requests(r)
-    reqs.repartition(4).write.mode("overwrite").parquet(f"{base}/requests")
-    q = score_stream(spark, r, f"{base}/requests", f"{base}/out", f"{base}/ckpt", RuleScorer(), S,
-                     max_files_per_trigger=2)
-    q.awaitTermination()
-    return spark.read.parquet(f"{base}/out").drop("epoch")
-

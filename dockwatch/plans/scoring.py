@@ -225,14 +225,14 @@ def reconstruct_features(readings: DataFrame, requests: DataFrame, s: Settings |
     return features_and_status(p, s)
 
 
-def features_and_status(p: DataFrame, s: Settings) -> DataFrame:
-    """Features and request status from parts."""
+def features_and_status(p: DataFrame, s: Settings, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Features and request status from parts; ``keep`` names further columns to keep."""
     ex = feature_exprs()
     return p.select(
         "station_id", "obs_ts",
         from_micros(F.col("snap")["ts"]).alias("snapshot_source_ts"),
         *[ex[n].alias(n) for n in FEATURE_COLUMNS],
-        *status_columns(s),
+        *status_columns(s), *keep,
     )
 
 

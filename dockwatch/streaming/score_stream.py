@@ -2,7 +2,8 @@
 
 Requests ``(station_id, obs_ts)`` arrive as files; each micro-batch is scored
 by ``score_requests`` against the readings table (a batch DataFrame, so every
-batch sees the readings as of that batch). Output is written per epoch with
+batch sees the readings as of that batch; it scans the days its requests need, and with ``index`` no
+older ones). ``streaming.live_score`` is the job for readings that arrive as a stream, too. Output is written per epoch with
 overwrite, so a replayed epoch after a failure replaces its own output
 (idempotent sink); progress lives in the checkpoint location.
 """
@@ -22,7 +23,7 @@ REQUEST_SCHEMA = "station_id string, obs_ts timestamp_ntz"
 def score_stream(spark: SparkSession, readings: DataFrame, request_dir: str, out_dir: str,
                  checkpoint: str, scorer, s: Settings | None = None,
                  available_now: bool = True, fmt: str = "parquet",
-                 max_files_per_trigger: int | None = None) -> StreamingQuery:
+                 max_files_per_trigger: int | None = None, index: DataFrame | None = None) -> StreamingQuery:
     s = s or Settings()
     src = spark.readStream.schema(REQUEST_SCHEMA).format(fmt)
     if max_files_per_trigger:
@@ -30,7 +31,7 @@ def score_stream(spark: SparkSession, readings: DataFrame, request_dir: str, out
     requests = src.load(request_dir)
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
-        out = score_requests(readings, batch, scorer, s).withColumn("epoch", F.lit(epoch_id))
+        out = score_requests(readings, batch, scorer, s, index=index).withColumn("epoch", F.lit(epoch_id))
         out.write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/epoch={epoch_id}")
 
     w = requests.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
