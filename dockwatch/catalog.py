@@ -77,6 +77,19 @@ def q_training_dataset_union(spark: SparkSession, d: str) -> DataFrame:
     return D.build_dataset(readings_for(spark, d), S, plan="union")
 
 
+def _register_interval(minutes: int) -> None:
+    s = Settings(min_forward_rows=30, sample_interval_min=minutes)
+
+    @register(f"training_dataset_{minutes}m", O.with_dataset(s, "SELECT * FROM dataset"))
+    def q_training_dataset_interval(spark: SparkSession, d: str) -> DataFrame:
+        """The dataset on another grid: buckets of the common divisor of the interval and all offsets."""
+        return D.build_dataset(readings_for(spark, d), s)
+
+
+for _minutes in (7, 10, 30):
+    _register_interval(_minutes)
+
+
 @register("dataset_row_count", O.with_dataset(S, "SELECT COUNT(*) AS row_count FROM dataset"))
 def q_dataset_row_count(spark: SparkSession, d: str) -> DataFrame:
     return D.build_dataset(readings_for(spark, d), S).agg(F.count(F.lit(1)).alias("row_count"))

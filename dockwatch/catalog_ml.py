@@ -61,7 +61,7 @@ conf AS (
     COUNT(*) FILTER (WHERE y_true = 0 AND y_pred = 0) AS tn,
     COUNT(*) FILTER (WHERE y_true = 1 AND y_pred = 0) AS fn,
     COUNT(*) AS n
-  FROM preds GROUP BY model),
+  FROM preds WHERE y_score IS NOT NULL GROUP BY model),
 conf_m AS (
   SELECT model, tp, fp, tn, fn,
     COALESCE(CAST(tp + tn AS DOUBLE) / CAST(NULLIF(n, 0) AS DOUBLE), 0.0) AS accuracy,
@@ -92,7 +92,7 @@ ll AS (
   SELECT model,
     CASE WHEN COUNT(DISTINCT y_true) > 1 THEN round(AVG(-(CAST(y_true AS DOUBLE) * ln(LEAST(GREATEST(y_score, 1e-15), 1 - 1e-15))
       + (1.0 - CAST(y_true AS DOUBLE)) * ln(1.0 - LEAST(GREATEST(y_score, 1e-15), 1 - 1e-15)))), 12) END AS log_loss
-  FROM preds GROUP BY model),
+  FROM preds WHERE y_score IS NOT NULL GROUP BY model),
 allm AS (
   SELECT m.*, a.roc_auc, a.pr_auc, l.log_loss FROM conf_m m
   LEFT JOIN auc a ON a.model = m.model LEFT JOIN ll l ON l.model = m.model)

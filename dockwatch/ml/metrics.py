@@ -5,29 +5,38 @@ computed per group (e.g. per model) in one job.
 
 ROC / PR AUC need cumulative counts in descending score order. A running sum
 over an unpartitioned window would pull all rows into one task, so
-``ranked_cumulative`` (1) reduces to distinct scores, (2) cuts them into
-score ranges at approximate quantiles, (3) takes running sums inside each
-range and (4) adds the range's offset from a small table of per-range totals.
+``ranked_cumulative`` reduces to distinct scores and takes their running sums by
+ranges (``operators.ranks``).
+
+All metrics look at the same rows: those with a label, a prediction and a score. A
+prediction without a score (unknown inputs) is neither right nor wrong; ``classification_metrics`` reports
+their number as ``unscored``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dockwatch.operators.ranks import running_sums
+
 # Output precision of the floating-point sums (PR AUC, log loss): summation
 # order differs between engines, so they are reported to 12 decimals.
 SUM_DECIMALS = 12
 LOGLOSS_EPS = 1e-15
 
 
+def is_scored() -> Column:
+    """Rows that metrics look at."""
+    return F.col("y_true").isNotNull() & F.col("y_pred").isNotNull() & F.col("y_score").isNotNull()
+
+
 def confusion_metrics(pred: DataFrame, group: Sequence[str] = ("model",)) -> DataFrame:
     """tp, fp, tn, fn, accuracy, precision, recall, f1 (0 when undefined)."""
     yt, yp = F.col("y_true"), F.col("y_pred")
-    g = pred.groupBy(*group).agg(
+    g = pred.where(is_scored()).groupBy(*group).agg(
         F.count(F.when((yt == 1) & (yp == 1), 1)).alias("tp"),
         F.count(F.when((yt == 0) & (yp == 1), 1)).alias("fp"),
         F.count(F.when((yt == 0) & (yp == 0), 1)).alias("tn"),
@@ -49,51 +58,21 @@ def confusion_metrics(pred: DataFrame, group: Sequence[str] = ("model",)) -> Dat
 
 
 def ranked_cumulative(pred: DataFrame, group: Sequence[str] = ("model",),
-                      n_ranges: int = 64, rel_err: float = 1e-3) -> DataFrame:
+                      n_ranges: int | None = None) -> DataFrame:
     """Per (group, distinct score): pos, neg and the positives / negatives with a
     strictly higher score (``pos_above``, ``neg_above``)."""
     group = list(group)
-    d = pred.groupBy(*group, "y_score").agg(
+    d = pred.where(is_scored()).groupBy(*group, "y_score").agg(
         F.sum(F.when(F.col("y_true") == 1, 1).otherwise(0)).cast("long").alias("pos"),
         F.sum(F.when(F.col("y_true") == 1, 0).otherwise(1)).cast("long").alias("neg"),
-    ).filter(F.col("y_score").isNotNull())
-    # score ranges: boundaries at approximate quantiles of the distinct scores
-    # (n_ranges values reach the driver, a fixed bound)
-    probs = [i / n_ranges for i in range(1, n_ranges)]
-    if n_ranges > 1:
-        # materialise the distinct-score table once (shared checkpoint dir):
-        # the quantile job and the final job both read it, not its lineage
-        d = d.checkpoint(eager=True)
-    qs = d.approxQuantile("y_score", probs, rel_err) if n_ranges > 1 else []
-    splits = sorted(set(float(q) for q in qs))
-    splits = [float("-inf")] + splits + [float("inf")]
-    if len(splits) >= 3:
-        d = Bucketizer(splits=splits, inputCol="y_score", outputCol="rng",
-                       handleInvalid="keep").transform(d)
-        d = d.withColumn("rng", F.col("rng").cast("int"))
-    else:
-        d = d.withColumn("rng", F.lit(0))
-    # running sums inside each range, highest scores first
-    w = Window.partitionBy(*group, "rng").orderBy(F.desc("y_score")).rowsBetween(
-        Window.unboundedPreceding, -1)
-    d = d.withColumn("pos_in", F.coalesce(F.sum("pos").over(w), F.lit(0))).withColumn(
-        "neg_in", F.coalesce(F.sum("neg").over(w), F.lit(0)))
-    # offsets of each range = totals of all higher ranges (tiny table)
-    tot = d.groupBy(*group, "rng").agg(F.sum("pos").alias("rp"), F.sum("neg").alias("rn"))
-    wr = Window.partitionBy(*group).orderBy(F.desc("rng")).rowsBetween(
-        Window.unboundedPreceding, -1)
-    tot = tot.select(*group, "rng",
-                     F.coalesce(F.sum("rp").over(wr), F.lit(0)).alias("pos_off"),
-                     F.coalesce(F.sum("rn").over(wr), F.lit(0)).alias("neg_off"))
-    d = d.join(F.broadcast(tot), group + ["rng"], "inner")
-    return d.select(
-        *group, "y_score", "pos", "neg",
-        (F.col("pos_off") + F.col("pos_in")).cast("long").alias("pos_above"),
-        (F.col("neg_off") + F.col("neg_in")).cast("long").alias("neg_above"),
     )
+    d = running_sums(d, "y_score", ["pos", "neg"], group, descending=True, ranges=n_ranges)
+    return d.select(*group, "y_score", "pos", "neg", F.col("pos_before").alias("pos_above"),
+                    F.col("neg_before").alias("neg_above"))
 
 
-def auc_metrics(pred: DataFrame, group: Sequence[str] = ("model",), n_ranges: int = 64) -> DataFrame:
+def auc_metrics(pred: DataFrame, group: Sequence[str] = ("model",),
+                n_ranges: int | None = None) -> DataFrame:
     """ROC AUC (ties count one half) and PR AUC (trapezoid over the PR curve
     that starts at recall 0, precision 1). NULL when one class only or when
     every score is 0."""
@@ -128,7 +107,7 @@ def log_loss(pred: DataFrame, group: Sequence[str] = ("model",)) -> DataFrame:
     p = F.least(F.greatest(F.col("y_score"), F.lit(LOGLOSS_EPS)), F.lit(1 - LOGLOSS_EPS))
     y = F.col("y_true").cast("double")
     term = -(y * F.log(p) + (F.lit(1.0) - y) * F.log(F.lit(1.0) - p))
-    a = pred.groupBy(*group).agg(
+    a = pred.where(is_scored()).groupBy(*group).agg(
         F.avg(term).alias("ll"),
         F.countDistinct("y_true").alias("k"),
     )
@@ -138,10 +117,14 @@ def log_loss(pred: DataFrame, group: Sequence[str] = ("model",)) -> DataFrame:
 
 def classification_metrics(pred: DataFrame, group: Sequence[str] = ("model",)) -> DataFrame:
     """All metrics per group: confusion counts, accuracy, precision, recall, f1,
-    roc_auc, pr_auc, log_loss."""
+    roc_auc, pr_auc, log_loss over the scored rows, and the number of ``unscored`` ones. A group without any
+    scored row has NULL metrics."""
     group = list(group)
-    return (confusion_metrics(pred, group).join(auc_metrics(pred, group), group, "left")
-            .join(log_loss(pred, group), group, "left"))
+    left_out = pred.groupBy(*group).agg(F.count(F.when(~is_scored(), 1)).alias("unscored"))
+    return (left_out.join(confusion_metrics(pred, group), group, "left")
+            .join(auc_metrics(pred, group), group, "left").join(log_loss(pred, group), group, "left")
+            .select(*group, "tp", "fp", "tn", "fn", "accuracy", "precision", "recall", "f1", "roc_auc", "pr_auc", "log_loss",
+                    "unscored"))
 
 
 def metrics_long(metrics: DataFrame, group: Sequence[str] = ("model",)) -> DataFrame:

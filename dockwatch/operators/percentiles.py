@@ -3,17 +3,19 @@
 ``F.percentile`` is exact but keeps every value of a group in one aggregation
 buffer. Coverage reports take percentiles of small integer counts, so we first
 reduce to a histogram ``(group, value, count)`` (a partial/final hash
-aggregate), then interpolate from cumulative counts. The window below runs per
-group over *distinct values*, not rows.
+aggregate), then interpolate from cumulative counts (``operators.ranks``: no window over a whole
+group's values).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dockwatch.operators.ranks import running_sums
+
 
 def value_at_rank(value: str, cum: str, k: Column) -> Column:
     """Aggregate: the value at 0-based rank ``k`` (smallest value whose
@@ -34,11 +36,8 @@ def percentiles_from_hist(
     computed as lo + (rn - floor(rn)) * (hi - lo) with rn = p * (N - 1)."""
     names = list(names) if names is not None else [f"p{int(round(p * 100))}" for p in probs]
     gcols = list(group_cols)
-    w = Window.partitionBy(*gcols).orderBy(value) if gcols else Window.orderBy(value)
-    h = hist.withColumn("__cum", F.sum(count).over(
-        w.rowsBetween(Window.unboundedPreceding, 0)))
-    h = h.withColumn("__n", F.sum(count).over(
-        Window.partitionBy(*gcols) if gcols else Window.partitionBy()))
+    h = running_sums(hist, value, [count], gcols)
+    h = h.withColumns({"__cum": F.col(f"{count}_before") + F.col(count), "__n": F.col(f"{count}_total")})
     outs = []
     for p, name in zip(probs, names):
         rn = F.lit(float(p)) * (F.col("__n") - 1).cast("double")

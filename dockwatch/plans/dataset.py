@@ -3,24 +3,25 @@
 Two plans with one semantics (tests check they agree):
 
 * **Plan B (bucket)**, the default: ``bucket_rollup`` (one partial/final hash
-  aggregate per (station, 15-minute bucket)), then *one* window pass over the
-  bucket rows, partitioned by station. Every offset and window is a multiple
-  of the grid interval, so each frame is "whole buckets in a range" plus the
-  at-start / after-start piece of one edge bucket. Window rows per station are
-  time span / interval, whatever the reading volume.
+  aggregate per (station, bucket)), then *one* window pass over the
+  bucket rows, partitioned by station. The buckets are a lattice: their length is the greatest common
+  divisor of the grid interval, all offsets, windows and the label horizon, so each frame is "whole buckets
+  in a range" plus the at-start / after-start piece of one edge bucket, for any interval. Window rows per
+  station are time span / bucket length, whatever the reading volume.
 * **Plan A (union)**: left rows unioned with raw readings and one window pass
   over readings; works for any left timestamps and any offsets, but sliding
-  24h frames are recomputed per reading. Used when the offsets are not grid
-  multiples and as the cross-check.
+  24h frames are recomputed per reading. The cross-check.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dockwatch.functions.nulls import nsum
-from dockwatch.functions.timeexpr import MINUTE_US, bucket_micros, from_micros
+from dockwatch.functions.timeexpr import BUCKET_ORIGIN_US, MINUTE_US, bucket_micros, floor_to, from_micros
 from dockwatch.operators.rollup import bucket_rollup, reading_record, with_micros
 from dockwatch.plans.features import (
     LAG_FEATURES,
@@ -40,10 +41,9 @@ PART_COLUMNS = (
 )
 
 
-def _grid_aligned(s: Settings) -> bool:
-    iv = s.sample_interval_min
-    offs = list(LAG_FEATURES) + [SHORT_WINDOW_MIN, LONG_WINDOW_MIN, s.label_horizon_min]
-    return all(o % iv == 0 and o >= iv for o in offs)
+def lattice_min(s: Settings) -> int:
+    """Bucket length (minutes) of plan B."""
+    return math.gcd(s.sample_interval_min, s.label_horizon_min, *LAG_FEATURES, SHORT_WINDOW_MIN, LONG_WINDOW_MIN)
 
 
 # --------------------------------------------------------------------------
@@ -51,10 +51,13 @@ def _grid_aligned(s: Settings) -> bool:
 # --------------------------------------------------------------------------
 
 def bucket_parts(readings: DataFrame, s: Settings, with_label: bool = True) -> DataFrame:
-    """Parts (see ``plans.features``) for every bucket row, plus ``cap_ok``,
-    ``fwd_n`` and ``fwd_bmin``. Columns ``station_id``, ``b`` (bucket micros)."""
-    iv = s.sample_interval_min * MINUTE_US
-    roll = bucket_rollup(readings, s.sample_interval_min, s.min_capacity, split_at_start=True)
+    """Parts (see ``plans.features``) for every grid point ``b`` (micros) of a station, and other bucket
+    starts, plus ``cap_ok`` (1 for the points of the observation grid), ``fwd_n`` and ``fwd_bmin``."""
+    step = lattice_min(s)
+    iv = step * MINUTE_US
+    roll = bucket_rollup(readings, step, s.min_capacity, split_at_start=True)
+    if step != s.sample_interval_min:
+        roll = _marked(roll, s)
     w = Window.partitionBy("station_id").orderBy("b")
 
     def fr(lo, hi):
@@ -68,7 +71,7 @@ def bucket_parts(readings: DataFrame, s: Settings, with_label: bool = True) -> D
         cols.append(F.greatest(F.max("f_rec").over(fr(UNB, -o - 1)),
                                F.max("s_rec").over(fr(-o, -o))).alias(f"asof_{off}"))
     for wmin, stats in ((SHORT_WINDOW_MIN, W_SHORT), (LONG_WINDOW_MIN, W_LONG)):
-        # [t - W, t] = whole buckets in [t - W, t - interval] + at-start rows of t
+        # [t - W, t] = whole buckets in [t - W, t - iv] + at-start rows of t
         fw = fr(-wmin * MINUTE_US, -iv)
         for st in stats:
             name = f"w{wmin}_{st}"
@@ -77,7 +80,7 @@ def bucket_parts(readings: DataFrame, s: Settings, with_label: bool = True) -> D
             elif st in ("bmax",):
                 e = F.greatest(F.max(f"f_{st}").over(fw), F.col(f"s_{st}"))
             elif st in ("bcnt", "rcnt"):
-                e = F.coalesce(F.sum(f"f_{st}").over(fw), F.lit(0)) + F.col(f"s_{st}")
+                e = F.coalesce(F.sum(f"f_{st}").over(fw), F.lit(0)) + F.coalesce(f"s_{st}", F.lit(0))
             else:
                 e = nsum(F.sum(f"f_{st}").over(fw), F.col(f"s_{st}"))
             cols.append(e.alias(name))
@@ -101,6 +104,17 @@ def bucket_parts(readings: DataFrame, s: Settings, with_label: bool = True) -> D
     return roll.select("station_id", "b", "cap_ok", *cols)
 
 
+def _marked(roll: DataFrame, s: Settings) -> DataFrame:
+    """Lattice rows where ``cap_ok`` marks the points of a coarser grid: a point counts if any bucket of its interval holds a
+    qualifying reading, and it may lie in a bucket without readings. Such points are added; no
+    reading row is touched again."""
+    point = floor_to("b", s.sample_interval_min * MINUTE_US, BUCKET_ORIGIN_US)
+    points = roll.where("cap_ok = 1").select("station_id", point.alias("b"), F.lit(1).alias("__point")).distinct()
+    # both sides are one row per (station, bucket)
+    return roll.join(points, ["station_id", "b"], "full").withColumn(
+        "cap_ok", F.coalesce("__point", F.lit(0))).drop("__point")
+
+
 # --------------------------------------------------------------------------
 # Plan A: union of left rows and raw readings
 # --------------------------------------------------------------------------
@@ -171,7 +185,7 @@ def dataset_parts(readings: DataFrame, s: Settings, plan: str = "auto") -> DataF
 
     Columns: station_id, obs_ts, parts, fwd_n, fwd_bmin."""
     if plan == "auto":
-        plan = "bucket" if _grid_aligned(s) else "union"
+        plan = "bucket"
     if plan == "bucket":
         p = bucket_parts(readings, s).filter(F.col("cap_ok") == 1).withColumnRenamed("b", "obs_us")
     elif plan == "union":
@@ -197,7 +211,7 @@ def forward_label(readings: DataFrame, s: Settings | None = None, plan: str = "a
     for grid points with at least ``min_forward_rows`` readings in (t, t + H]."""
     s = s or Settings()
     if plan == "auto":
-        plan = "bucket" if _grid_aligned(s) else "union"
+        plan = "bucket"
     if plan == "bucket":
         p = bucket_parts(readings, s).filter(F.col("cap_ok") == 1).withColumnRenamed("b", "obs_us")
     else:
@@ -211,10 +225,7 @@ def forward_counts(readings: DataFrame, s: Settings | None = None) -> DataFrame:
     """Every grid point with its forward row count and label (no threshold):
     the basis of the coverage reports. ``fwd_n`` may be 0."""
     s = s or Settings()
-    p = bucket_parts(readings, s) if _grid_aligned(s) else None
-    if p is None:
-        p = union_parts(readings, grid_rows(readings, s), s)
-        p = p.withColumn("cap_ok", F.lit(1)).withColumnRenamed("obs_us", "b")
+    p = bucket_parts(readings, s)
     p = p.filter(F.col("cap_ok") == 1).select(
         "station_id", from_micros("b").alias("obs_ts"),
         F.col("fwd_n").cast("long").alias("fwd_row_count"),

@@ -44,6 +44,7 @@ from dockwatch.session import ensure_checkpoint_dir
 from dockwatch.settings import (
     FEATURE_COLUMNS,
     STATUS_CODES,
+    STATUS_NO_SCORE,
     STATUS_NOT_FOUND,
     STATUS_OK,
     STATUS_OUT_OF_DOMAIN,
@@ -236,6 +237,14 @@ def features_and_status(p: DataFrame, s: Settings, keep: tuple[str, ...] = ()) -
     )
 
 
+def judged(scored: DataFrame) -> DataFrame:
+    """Rows that passed the checks but got no score have an outcome of their own."""
+    none = F.col("raw_score").isNull()
+    return scored.withColumns({
+        "status": F.when(none, STATUS_NO_SCORE).otherwise(F.col("status")),
+        "http_status": F.when(none, STATUS_CODES[STATUS_NO_SCORE]).otherwise(F.col("http_status"))})
+
+
 def score_frame(scored: DataFrame, s: Settings, model_name: str | None, more=()) -> DataFrame:
     """Response columns from rows that carry ``raw_score``: score rounded to 6
     places, label from the unrounded score."""
@@ -243,9 +252,9 @@ def score_frame(scored: DataFrame, s: Settings, model_name: str | None, more=())
         "station_id", "obs_ts",
         F.round(F.col("raw_score"), 6).alias("risk_score"),
         (F.col("raw_score") >= F.lit(s.score_threshold)).cast("int").alias("risk_label"),
-        F.lit(s.score_threshold).alias("threshold"),
+        F.when(F.col("raw_score").isNotNull(), F.lit(s.score_threshold)).alias("threshold"),
         "snapshot_source_ts",
-        F.lit(model_name).cast("string").alias("model_name"),
+        F.when(F.col("raw_score").isNotNull(), F.lit(model_name).cast("string")).alias("model_name"),
         "status", "http_status", *more,
     )
 
@@ -261,7 +270,7 @@ def score_requests(readings: DataFrame, requests: DataFrame, scorer, s: Settings
 def score_features(feats: DataFrame, scorer, s: Settings, debug: bool = False) -> DataFrame:
     """Scores of rows of ``features_and_status``; ``debug`` keeps the features beside them."""
     ok = feats.filter(F.col("status") == STATUS_OK)
-    scored = scorer.score(ok)
+    scored = judged(scorer.score(ok))
     out = score_frame(scored, s, getattr(scorer, "name", None), FEATURE_COLUMNS if debug else ())
     bad = feats.filter(F.col("status") != STATUS_OK).select(
         "station_id", "obs_ts", "snapshot_source_ts", "status", "http_status")

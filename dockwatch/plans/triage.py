@@ -26,7 +26,7 @@ from dockwatch.plans.features import (
     feature_exprs,
 )
 from dockwatch.plans.lookback import newest_before, station_days
-from dockwatch.plans.scoring import score_frame, status_columns
+from dockwatch.plans.scoring import judged, score_frame, status_columns
 from dockwatch.settings import DEFAULT_TOP_N, FEATURE_COLUMNS, MAX_TOP_N, STATUS_OK, Settings
 
 ACTIVE_LOOKBACK_MIN = 15
@@ -122,7 +122,10 @@ def triage(readings: DataFrame, obs_ts: datetime, scorer, s: Settings | None = N
     _check_top_n(top_n)
     cand = candidate_features(readings, obs_ts, s, index=index)
     ok = cand.filter(F.col("status") == STATUS_OK)
-    scored = scorer.score(ok).withColumn("risk_score", F.round(F.col("raw_score"), 6))
+    tried = judged(scorer.score(ok)).withColumn("risk_score", F.round(F.col("raw_score"), 6))
+    scored = tried.filter(F.col("status") == STATUS_OK)
+    outcome = cand.filter(F.col("status") != STATUS_OK).select("station_id", "status").unionByName(
+        tried.select("station_id", "status"))
     order = [F.desc("risk_score"), F.coalesce(F.col("ft_bikes_available"), F.lit(0.0)),
              F.asc("station_id")]
     top = scored.orderBy(*order).limit(top_n)
@@ -140,10 +143,10 @@ def triage(readings: DataFrame, obs_ts: datetime, scorer, s: Settings | None = N
     )
     if not debug:
         ranked = ranked.drop("availability_ratio", "snapshot_age_min", "bikes_delta_60m")
-    skipped = cand.filter(F.col("status") != STATUS_OK).select(
+    skipped = outcome.filter(F.col("status") != STATUS_OK).select(
         "station_id", F.col("status").alias("reason"))
     reasons = skipped.groupBy("reason").agg(F.count(F.lit(1)).alias("stations")).orderBy("reason")
-    funnel = cand.agg(
+    funnel = outcome.agg(
         F.count(F.lit(1)).alias("candidate_stations"),
         F.count(F.when(F.col("status") == STATUS_OK, 1)).alias("scored"),
         F.count(F.when(F.col("status") != STATUS_OK, 1)).alias("skipped"),
@@ -151,8 +154,7 @@ def triage(readings: DataFrame, obs_ts: datetime, scorer, s: Settings | None = N
              "skipped", F.lit(top_n).alias("top_n"),
              F.lit(getattr(scorer, "name", None)).cast("string").alias("model_name"))
     return {"ranked": ranked, "skipped": skipped, "skip_reasons": reasons, "funnel": funnel,
-            "scored": score_frame(scored.withColumn("raw_score", F.col("raw_score")), s,
-                                  getattr(scorer, "name", None))}
+            "scored": score_frame(scored, s, getattr(scorer, "name", None))}
 
 
 def triage_result(readings: DataFrame, obs_ts: datetime, scorer, s: Settings | None = None,

@@ -150,10 +150,12 @@ STATUS_NOT_FOUND = "station_not_found"
 STATUS_NO_SNAPSHOT = "no_snapshot"  # kept in the vocabulary; an inner as-of never yields it
 STATUS_OUT_OF_DOMAIN = "out_of_domain"
 STATUS_STALE = "stale_data"
+STATUS_NO_SCORE = "no_score"  # the checks passed, but the scorer has no score for such inputs
 STATUS_CODES = {
     STATUS_OK: 200,
     STATUS_NOT_FOUND: 404,
     STATUS_NO_SNAPSHOT: 404,
     STATUS_OUT_OF_DOMAIN: 422,
     STATUS_STALE: 422,
+    STATUS_NO_SCORE: 422,
 }

@@ -104,3 +104,35 @@ def test_non_divisor_interval_falls_back_to_union(random_readings):
     ts = [r["obs_ts"] for r in d.select("obs_ts").limit(50).collect()]
     origin = datetime(2000, 1, 3)
     assert all(((t - origin).total_seconds() / 60) % 7 == 0 for t in ts)
+
+
+@pytest.mark.parametrize("interval,horizon", [(7, 60), (10, 60), (30, 60), (60, 60), (15, 45), (20, 50)])
+def test_bucket_lattice_equals_union_plan_for_any_interval(random_readings, interval, horizon):
+    s = Settings(sample_interval_min=interval, label_horizon_min=horizon, min_forward_rows=20)
+    few = random_readings.where("station_id IN ('R0', 'R1')")
+    a = _rows_by_key(build_dataset(few, s, plan="union"))
+    b = _rows_by_key(build_dataset(few, s))
+    assert a.keys() == b.keys() and len(a) > 50
+    bad = [(k, c) for k in a for c in DATASET_COLUMNS if not _same(a[k][c], b[k][c])]
+    assert not bad, bad[:5]
+
+
+def test_grid_point_in_a_bucket_without_readings(spark):
+    from dockwatch.plans.dataset import dataset_parts, lattice_min
+    from dockwatch.sources.readings import READINGS_SCHEMA
+
+    s = Settings(sample_interval_min=30, min_forward_rows=1)
+    assert lattice_min(s) == 15
+    t = datetime(2024, 6, 15, 9, 0)
+    rows = [("Q", ws, ws, 5.0, 5.0, 10.0, 0.5, 0, 1, ws) for ws in (t - timedelta(minutes=25), t + timedelta(minutes=20))]
+    got = {r["obs_ts"]: r for r in dataset_parts(spark.createDataFrame(rows, READINGS_SCHEMA), s).collect()}
+    # 09:00 is a point because of the reading at 09:20, though [09:00, 09:15) has none
+    assert set(got) == {t - timedelta(minutes=30), t}
+    assert got[t]["snap"]["bikes"] == 5.0 and got[t]["fwd_n"] == 1
+    assert got[t - timedelta(minutes=30)]["snap"] is None
+
+
+def test_default_plan_reads_no_raw_window(random_readings):
+    s = Settings(sample_interval_min=7, min_forward_rows=10)
+    plan = build_dataset(random_readings, s)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in plan and plan.count("Window [") == 1

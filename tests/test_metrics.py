@@ -148,3 +148,41 @@ def test_unknown_bikes_have_no_rule_score(spark):
     df = spark.createDataFrame([(None,), (0.0,), (5.0,), (20.0,)], "bikes double")
     got = [r[0] for r in df.select(low_bikes_score(F.col("bikes"), F.lit(10.0))).collect()]
     assert got == [None, 1.0, 0.5, 0.0]
+
+
+def test_all_metrics_leave_out_unscored_rows(spark):
+    known = [("m", 1, 1, .9), ("m", 0, 0, .1), ("m", 1, 0, .4), ("m", 0, 1, .6)]
+    odd = [("m", 1, 0, None), ("m", 0, None, None), ("m", None, 1, .5), ("none", 1, 0, None)]
+    schema = "model string, y_true int, y_pred int, y_score double"
+    got = {r["model"]: r.asDict() for r in M.classification_metrics(spark.createDataFrame(known + odd, schema)).collect()}
+    want = M.classification_metrics(spark.createDataFrame(known, schema)).first().asDict()
+    assert want["unscored"] == 0 and got["m"] == {**want, "unscored": 3}
+    assert got["none"]["unscored"] == 1 and got["none"]["log_loss"] is None and got["none"]["tp"] is None
+
+
+@pytest.mark.parametrize("ranges", [None, 1, 5, 40])
+@pytest.mark.parametrize("descending", [False, True])
+def test_running_sums_match_a_plain_scan(spark, ranges, descending):
+    from dockwatch.operators.ranks import running_sums
+
+    rnd = random.Random(1)
+    rows = [(g, v, rnd.choice([None, 1, 2, 5])) for g in ("a", "b", None) for v in rnd.sample(range(1000), 60 if g == "a" else 7)]
+    df = spark.createDataFrame(rows, "g string, v int, n long").repartition(4)
+    got = {(r.g, r.v): (r.n_before, r.n_total) for r in running_sums(df, "v", ["n"], ["g"], descending, ranges).collect()}
+    assert len(got) == len(rows)
+    for g, v, _ in rows:
+        own = [(w, n or 0) for h, w, n in rows if h == g]
+        assert got[(g, v)] == (sum(n for w, n in own if (w > v if descending else w < v)), sum(n for _, n in own))
+
+
+def test_percentiles_over_all_rows_use_no_single_window(spark):
+    from dockwatch.operators.percentiles import percentiles_from_hist
+
+    values = sorted(random.Random(9).choices(range(50), k=333))
+    hist = spark.createDataFrame([(v,) for v in values], "v int").groupBy("v").count()
+    out = percentiles_from_hist(hist, "v", "count", [0.25, 0.5, 0.9])
+    for p, name in ((0.25, "p25"), (0.5, "p50"), (0.9, "p90")):
+        k = p * (len(values) - 1)
+        lo, hi = values[int(k)], values[-int(-k // 1)] if k % 1 else values[int(k)]
+        assert out.first()[name] == pytest.approx(lo + (k % 1) * (hi - lo))
+    assert percentiles_from_hist(hist.limit(0), "v", "count", [0.5]).first()["p50"] is None

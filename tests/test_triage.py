@@ -105,3 +105,19 @@ def test_scan_filter_is_pushed(readings, tmp_path, spark):
     r = load_readings(spark, str(tmp_path / "r"))
     plan = candidate_features(r, T930, Settings())._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(window_start), LessThanOrEqual(window_start" in plan
+
+
+def test_ok_request_without_a_score_has_its_own_outcome(spark):
+    from dockwatch.plans.scoring import score_requests
+    from dockwatch.sources.readings import READINGS_SCHEMA
+
+    t0 = datetime(2024, 6, 15, 9, 0)
+    rows = [(sid, t0, t0 + timedelta(minutes=1), bikes, 5.0, 30.0, 0.2, 0, 1, t0) for sid, bikes in (("K", 4.0), ("U", None))]
+    df = spark.createDataFrame(rows, READINGS_SCHEMA)
+    res = triage_result(df, t0, RuleScorer(), Settings())
+    assert (res["candidate_stations"], res["scored"], res["skipped"]) == (2, 1, 1)
+    assert [x["station_id"] for x in res["stations"]] == ["K"] and res["skip_reasons"] == {"no_score": 1}
+    req = spark.createDataFrame([("K", t0), ("U", t0)], "station_id string, obs_ts timestamp_ntz")
+    got = {r["station_id"]: r for r in score_requests(df, req, RuleScorer()).collect()}
+    assert (got["U"]["status"], got["U"]["http_status"], got["U"]["risk_label"], got["U"]["threshold"]) == ("no_score", 422, None, None)
+    assert got["K"]["status"] == "ok" and got["K"]["risk_score"] == 0.0
