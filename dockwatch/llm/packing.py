@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import zlib
 from array import array
 from collections.abc import Callable, Iterator
@@ -17,6 +18,11 @@ from dockwatch.llm.shared import Scratch, byte_slices, column, numbers
 #: Bytes of text tokenised at a time, and distinct words a worker remembers.
 SLICE_BYTES = 8 << 20
 MEMO_WORDS = 800_000
+#: Words of Latin letters, perhaps with one mark behind them, and how many words are encoded as one string. Such a word is one
+#: token run of the tokenizer, its mark another one, whatever stands around them.
+PLAIN_WORD = "^[A-Za-zÀ-ÖØ-öø-ÿ]+[.,;:!?]?$"
+PLAIN_MARK = "[.,;:!?]$"
+JOINED_WORDS = 500
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PLACED = PIECES + ", sequence_id long, offset long"
@@ -42,12 +48,39 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
+        vocab = self.tok.get_vocab(with_added_tokens=True)
+        # the entries that end a run say so in their name
+        self.ends_run = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends_run[[i for entry, i in vocab.items() if entry.endswith("</w>")]] = True
         self._forget()
 
     def _forget(self) -> None:
         self.memo: dict[str, int] = {}
         self.ids, self.first = array("I"), array("q", [0])
 
+    def _each(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words in a row, and the number of ids of each."""
+        return _flat([e.ids for e in self.tok.encode_batch_fast(words, add_special_tokens=False)])
+
+    def _plain(self, words: list[str], runs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same for plain words of so many runs each, encoded together and cut at the ends of runs."""
+        joined = [" ".join(words[i:i + JOINED_WORDS]) for i in range(0, len(words), JOINED_WORDS)]
+        ids, _ = self._each(joined)
+        end = np.flatnonzero(self.ends_run[ids])
+        if len(end) != runs.sum():  # not a tokenizer of such runs
+            return self._each(words)
+        return ids, np.diff(end[np.cumsum(runs) - 1], prepend=-1)
+
+    def _learn(self, words: list[str]) -> None:
+        arr = pa.array(words, pa.large_string())
+        plain = pc.match_substring_regex(arr, PLAIN_WORD).to_numpy(zero_copy_only=False)
+        runs = 1 + pc.match_substring_regex(arr, PLAIN_MARK).to_numpy(zero_copy_only=False)
+        sure, other = arr.filter(pa.array(plain)).to_pylist(), arr.filter(pa.array(~plain)).to_pylist()
+        for some, (ids, n) in ((sure, self._plain(sure, runs[plain])), (other, self._each(other))):
+            self.memo.update(zip(some, range(len(self.memo), len(self.memo) + len(some))))
+            self.first.frombytes((len(self.ids) + np.cumsum(n)).astype(np.int64).tobytes())
+            self.ids.frombytes(ids.astype(np.uint32).tobytes())
+
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and the number of ids of each."""
         lists = pc.split_pattern(pc.replace_substring(texts.cast(pa.large_string()), "\n", " "), " ")
@@ -58,10 +91,8 @@ class WordTokenizer:
         if len(self.memo) > MEMO_WORDS:
             self._forget()
         new = [w for w in distinct if w not in self.memo]
-        for w, e in zip(new, self.tok.encode_batch_fast(new, add_special_tokens=False)):
-            self.memo[w] = len(self.memo)
-            self.ids.extend(e.ids)
-            self.first.append(len(self.ids))
+        if new:
+            self._learn(new)
         known, first = np.array(self.ids, np.uint32), np.array(self.first, np.int64)
         place = np.fromiter(map(self.memo.__getitem__, distinct), np.int64, len(distinct))[index]
         n = first[place + 1] - first[place]
@@ -70,6 +101,11 @@ class WordTokenizer:
         return known[at], np.diff(ends[off - off[0]])
 
 
+def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    n = np.fromiter(map(len, lists), np.int64, len(lists))
+    return np.fromiter(itertools.chain.from_iterable(lists), np.int64, int(n.sum())), n
+
+
 _TOKENIZERS: dict[str, WordTokenizer] = {}
 
 
