@@ -303,8 +303,11 @@ def jaccard_links(docs: DataFrame, threshold: float = 0.8, n: int = 5, block: in
     one shingle. Null and empty texts and null doc_ids link with nothing and are kept. Repeated rows count
     once; a doc_id with several texts gives a row for each. Other columns are ignored.
     """
-    spark = docs.sparkSession
-    scratch = Scratch(spark, "jaccard")
+    return _links(docs, threshold, n, block, Scratch(docs.sparkSession, "jaccard")).drop("cls")
+
+
+def _links(docs: DataFrame, threshold: float, n: int, block: int, scratch: Scratch) -> DataFrame:
+    """:func:`jaccard_links` with ``cls``, the digest of the row's shingle set (null: it has none)."""
     src = docs.select(F.col("doc_id").cast("long"), word_hashes("text").alias("words"))
     takes_part = F.col("doc_id").isNotNull() & (F.size("words") > 0)
     signed = scratch.table(src.where(takes_part).mapInArrow(_signatures(n), "doc_id long, cls binary, sig binary"))
@@ -337,9 +340,10 @@ def jaccard_links(docs: DataFrame, threshold: float = 0.8, n: int = 5, block: in
     per = (classes.select("cid", "cls", "class_id", "n_docs").join(counts, "cid", "left").join(groups, "cid", "left")
            .select("cls", "class_id", (F.coalesce("links", F.lit(0)) + F.col("n_docs") - 1).alias("n_links"),
                    F.coalesce("group_id", "class_id").alias("group_id")))
-    linked = ids.join(per, "cls").select("doc_id", "class_id", "n_links", "group_id")
+    linked = ids.join(per, "cls").select("doc_id", "class_id", "n_links", "group_id", "cls")
     alone = src.where(~takes_part).select(
-        "doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.col("doc_id").alias("group_id"))
+        "doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.col("doc_id").alias("group_id"),
+        F.lit(None).cast("binary").alias("cls"))
     return linked.union(alone.distinct()).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("group_id")))
 
 
@@ -349,7 +353,19 @@ def _in_tiles(rows: DataFrame, key: str) -> DataFrame:
 
 def drop_near_duplicates(docs: DataFrame, threshold: float = 0.8, n: int = 5) -> DataFrame:
     """``docs`` with one document of each group of linked ones (the smallest doc_id). Repeated rows become one;
-    rows of a null doc_id all stay."""
-    keep = jaccard_links(docs, threshold, n).where("kept").select("doc_id").distinct()
-    first = docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return first.unionByName(docs.where("doc_id is null"))
+    rows of a null doc_id all stay. Of a doc_id with several texts those stay that are kept themselves."""
+    scratch = Scratch(docs.sparkSession, "near-duplicates")
+    links = scratch.table(_links(docs, threshold, n, 256, scratch).where("doc_id IS NOT NULL").select("doc_id", "cls", "kept"))
+    verdict = links.groupBy("doc_id").agg(F.max("kept").alias("some"), F.min("kept").alias("every"))
+    first = docs.join(verdict.where("every").select("doc_id"), "doc_id", "left_semi")
+
+    # ids of which one text is kept and another not: each row by its own shingle set
+    mixed = docs.join(verdict.where("some AND NOT every").select("doc_id"), "doc_id", "left_semi")
+    mixed = scratch.table(mixed.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("at")))
+    words = mixed.select(F.col("at").alias("doc_id"), word_hashes("row.text").alias("words")).where("size(words) > 0")
+    cls = words.mapInArrow(_signatures(n), "doc_id long, cls binary, sig binary").select(F.col("doc_id").alias("at"), "cls")
+    own = mixed.join(cls, "at", "left").select("row", "cls").alias("m")
+    kept = links.where("kept").alias("k")
+    stay = own.join(kept, (F.col("m.row.doc_id") == F.col("k.doc_id")) & F.col("m.cls").eqNullSafe(F.col("k.cls")), "left_semi")
+    return (first.unionByName(stay.select("row.*")).dropDuplicates(["doc_id", "text"])
+            .unionByName(docs.where("doc_id is null")))

@@ -158,5 +158,5 @@ def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.7,
 
 def drop_low_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, **options) -> DataFrame:
     """``docs``, all columns, without those that score below ``threshold``."""
-    return _scored(docs, fit(docs, labels, **options), docs.columns).where(
-        F.col("_quality_score") >= threshold).select(*docs.columns)
+    whole = docs.select(F.struct("*").alias("row"), "text")  # no column can clash with the operator's
+    return _scored(whole, fit(docs, labels, **options), ["row"]).where(F.col("_quality_score") >= threshold).select("row.*")

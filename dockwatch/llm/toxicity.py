@@ -213,4 +213,5 @@ def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.5,
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, **options) -> DataFrame:
     """``docs``, all columns, without those that score ``threshold`` or more."""
-    return fit(docs, labels, **options).score(docs, docs.columns).where(F.col("_tox_score") < threshold).select(*docs.columns)
+    whole = docs.select(F.struct("*").alias("row"), "text")  # no column can clash with the operator's
+    return fit(docs, labels, **options).score(whole, ["row"]).where(F.col("_tox_score") < threshold).select("row.*")
