@@ -60,15 +60,7 @@ def q_asof_snapshot_generic(spark, d):
 LAG_COLS = list(LAG_FEATURES.values())
 
 
-@register("asof_lags", O.with_base(S, """
-SELECT g.station_id, g.obs_ts,
-  l15.v AS ft_bikes_available_lag_15m, l30.v AS ft_bikes_available_lag_30m,
-  l60.v AS ft_bikes_available_lag_60m, l1440.v AS ft_bikes_available_lag_24h
-FROM grid g
-LEFT JOIN lag15 l15 ON g.station_id = l15.station_id AND g.obs_ts = l15.obs_ts
-LEFT JOIN lag30 l30 ON g.station_id = l30.station_id AND g.obs_ts = l30.obs_ts
-LEFT JOIN lag60 l60 ON g.station_id = l60.station_id AND g.obs_ts = l60.obs_ts
-LEFT JOIN lag1440 l1440 ON g.station_id = l1440.station_id AND g.obs_ts = l1440.obs_ts"""))
+@register("asof_lags", O.with_base(S, f"SELECT station_id, obs_ts, {', '.join(LAG_COLS)} FROM grid_feat"))
 def q_asof_lags(spark, d):
     return _grid_parts(spark, d).select("station_id", "obs_ts", *_feat(LAG_COLS))
 

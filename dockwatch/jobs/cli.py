@@ -93,7 +93,7 @@ def main(argv=None) -> int:
         ds = build_dataset(_readings(spark, args), s)
         if args.dry_run:
             ds.explain("formatted")
-            print(f"Estimated rows: {ds.count():,}")
+            print(f"dry run: {ds.count():,} rows")
             return 0
         path = write_dataset(ds, args.out, spark, upstream=args.readings or args.events_dir or "")
         print(path or "WARNING: dataset is empty, nothing written")

@@ -204,14 +204,11 @@ def status_columns(s: Settings, obs_us: Column | None = None) -> list[Column]:
     )
     code = F.create_map(*[x for k, v in STATUS_CODES.items() for x in (F.lit(k), F.lit(v))])
     detail = (
-        F.when(status == STATUS_NOT_FOUND,
-               F.concat(F.lit("No raw data found for station '"), F.col("station_id"), F.lit("'")))
+        F.when(status == STATUS_NOT_FOUND, F.format_string("station %s has no reading at or before the instant", F.col("station_id")))
         .when(status == STATUS_OUT_OF_DOMAIN,
-              F.concat(F.lit("Station capacity ("), F.format_string("%.1f", snap["cap"]),
-                       F.lit(f") is below training threshold ({s.min_capacity})")))
+              F.format_string(f"capacity %.1f is under the floor of {s.min_capacity}", snap["cap"]))
         .when(status == STATUS_STALE,
-              F.concat(F.lit("Latest data is more than "), F.lit(str(s.max_staleness_min)),
-                       F.lit(" min before the requested obs_ts")))
+              F.format_string(f"newest reading is %.1f min old, allowed are {s.max_staleness_min}", age / F.lit(float(MINUTE_US))))
     )
     return [status.alias("status"), code[status].alias("http_status"), detail.alias("detail")]
 

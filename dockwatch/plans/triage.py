@@ -165,7 +165,7 @@ def triage_result(readings: DataFrame, obs_ts: datetime, scorer, s: Settings | N
     out = triage(readings, obs_ts, scorer, s, top_n, debug)
     funnel = out["funnel"].first().asDict()
     if funnel["candidate_stations"] == 0:
-        raise TriageError("no_active_stations", f"No stations with recent data at {obs_ts}", 404)
+        raise TriageError("no_active_stations", f"nothing to rank: no station reported within {ACTIVE_LOOKBACK_MIN} min before {obs_ts}", 404)
     funnel["stations"] = [r.asDict() for r in out["ranked"].collect()]  # <= top_n rows
     funnel["skip_reasons"] = {r["reason"]: r["stations"] for r in out["skip_reasons"].collect()}
     funnel["skipped_stations"] = out["skipped"]  # a DataFrame: one row per skipped station
