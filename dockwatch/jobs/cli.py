@@ -42,6 +42,19 @@ def _settings(args) -> Settings:
     return s
 
 
+def _newest(spark, args) -> dict:
+    from dockwatch.sources.runs import newest_run
+    return newest_run(spark, args.runs) if args.runs else {}
+
+
+def _scorer(spark, args, rule):
+    """The model that is named, that of the newest run, or the rule."""
+    from dockwatch.ml.model import load_model
+    from dockwatch.ml.scorers import ModelScorer
+    path = args.model or _newest(spark, args).get("model")
+    return ModelScorer(load_model(path)) if path else rule()
+
+
 def _show(df):
     """Every row as a JSON line, fetched one partition at a time."""
     for row in df.toLocalIterator():
@@ -75,14 +88,38 @@ def main(argv=None) -> int:
     tr.add_argument("--out", required=True)
     tr.add_argument("--max-iter", type=int, default=DEFAULT_MAX_ITER)
     ev = sub.add_parser("evaluate")
-    ev.add_argument("--dataset", required=True)
-    ev.add_argument("--model", required=True)
+    ev.add_argument("--dataset")
+    ev.add_argument("--model")
     ev.add_argument("--metrics")
+    ev.add_argument("--runs", help="folder of the run table: its newest run stands for paths not given")
     tg = sub.add_parser("triage")
     tg.add_argument("--model")
     tg.add_argument("--at", required=True)
     tg.add_argument("--top-n", type=int, default=DEFAULT_TOP_N)
     tg.add_argument("--debug", action="store_true")
+    tg.add_argument("--index", help="look-back index table (see the index command)")
+    tg.add_argument("--runs")
+    ix = sub.add_parser("index", help="write the station look-back index")
+    ix.add_argument("--out", required=True)
+    sc = sub.add_parser("score", help="score a table of requests (station_id, obs_ts)")
+    sc.add_argument("--requests", required=True)
+    sc.add_argument("--out", required=True)
+    sc.add_argument("--model")
+    sc.add_argument("--index")
+    sc.add_argument("--runs")
+    sc.add_argument("--debug", action="store_true")
+    lv = sub.add_parser("score-live", help="score requests against readings, both arriving as Parquet files")
+    for name in ("--requests", "--out", "--checkpoint"):
+        lv.add_argument(name, required=True)
+    lv.add_argument("--model")
+    lv.add_argument("--runs")
+    lv.add_argument("--max-bikes", type=float, default=0.0, help="of the rule, without a model")
+    lv.add_argument("--delay", default="1 hour")
+    lv.add_argument("--late-hours", type=int, default=24)
+    lv.add_argument("--once", action="store_true", help="stop when all files are read")
+    ch = sub.add_parser("chain", help="build, validate, train; publish the run if all went well")
+    ch.add_argument("--out", required=True)
+    ch.add_argument("--max-iter", type=int, default=DEFAULT_MAX_ITER)
     args = p.parse_args(argv)
 
     spark = _spark(args)
@@ -144,18 +181,44 @@ def main(argv=None) -> int:
         return 0
     if args.cmd == "evaluate":
         from dockwatch.ml.training import evaluate_saved
-        _show(evaluate_saved(spark, spark.read.parquet(args.dataset), args.model, args.metrics))
+        run = _newest(spark, args)
+        paths = [getattr(args, n) or run.get(n) for n in ("dataset", "model", "metrics")]
+        if not all(paths[:2]):
+            p.error("evaluate needs --dataset and --model, or --runs")
+        _show(evaluate_saved(spark, spark.read.parquet(paths[0]), *paths[1:]))
+        return 0
+    if args.cmd == "index":
+        from dockwatch.plans.lookback import station_days
+        station_days(_readings(spark, args)).write.mode("overwrite").parquet(args.out)
+        return 0
+    if args.cmd == "score":
+        from dockwatch.ml.scorers import RuleScorer
+        from dockwatch.plans.scoring import score_requests
+        r = _readings(spark, args)
+        score_requests(r, spark.read.parquet(args.requests), _scorer(spark, args, lambda: RuleScorer.fitted(r)), s, args.debug,
+                       spark.read.parquet(args.index) if args.index else None).write.mode("overwrite").parquet(args.out)
+        return 0
+    if args.cmd == "score-live":
+        from dockwatch.ml.scorers import RuleScorer
+        from dockwatch.streaming.live_score import score_live
+        if not args.readings:
+            p.error("score-live needs --readings")
+        score_live(spark, args.readings, args.requests, args.out, args.checkpoint,
+                   _scorer(spark, args, lambda: RuleScorer(max_bikes=args.max_bikes)), s, args.delay, args.late_hours,
+                   available_now=args.once).awaitTermination()
         return 0
+    if args.cmd == "chain":
+        from dockwatch.jobs.chain import run_chain
+        out = run_chain(spark, _readings(spark, args), args.out, s, args.max_iter, upstream=args.readings or args.events_dir or "")
+        print(json.dumps(out, default=str, indent=2))
+        return 0 if out["published"] else 1
     if args.cmd == "triage":
-        from dockwatch.ml.scorers import ModelScorer, RuleScorer
+        from dockwatch.ml.scorers import RuleScorer
         from dockwatch.plans.triage import TriageError, triage_result
-        scorer = RuleScorer()
-        if args.model:
-            from dockwatch.ml.model import load_model
-            scorer = ModelScorer(load_model(args.model))
+        scorer = _scorer(spark, args, RuleScorer)
         try:
             res = triage_result(_readings(spark, args), datetime.fromisoformat(args.at), scorer, s,
-                                args.top_n, args.debug)
+                                args.top_n, args.debug, spark.read.parquet(args.index) if args.index else None)
         except TriageError as e:
             print(json.dumps({"error": e.code, "detail": e.detail, "status": e.status}))
             return 1

@@ -158,11 +158,11 @@ def triage(readings: DataFrame, obs_ts: datetime, scorer, s: Settings | None = N
 
 
 def triage_result(readings: DataFrame, obs_ts: datetime, scorer, s: Settings | None = None,
-                  top_n: int = DEFAULT_TOP_N, debug: bool = False) -> dict:
+                  top_n: int = DEFAULT_TOP_N, debug: bool = False, index: DataFrame | None = None) -> dict:
     """Job-boundary form: collects the (bounded) results and raises
     ``no_active_stations`` when nothing qualifies. All-skipped is a valid, empty
     shortlist."""
-    out = triage(readings, obs_ts, scorer, s, top_n, debug)
+    out = triage(readings, obs_ts, scorer, s, top_n, debug, index)
     funnel = out["funnel"].first().asDict()
     if funnel["candidate_stations"] == 0:
         raise TriageError("no_active_stations", f"nothing to rank: no station reported within {ACTIVE_LOOKBACK_MIN} min before {obs_ts}", 404)
