@@ -124,15 +124,14 @@ def _frequent_pairs(base: DataFrame, src: DataFrame | None, most: int, folds: in
     return hot, count if folds == 1 else count.reshape(-1, folds)
 
 
-def _count_rows(parts: int, scored: bool, hot: np.ndarray):
-    """Rare bigrams of the corpus, packed by hash partition; where the corpus is scored itself, with their documents."""
+def _count_rows(parts: int, hot: np.ndarray):
+    """Rare bigrams of the corpus, packed by hash partition."""
 
     def run(batches):
         for b in _slices(batches):
-            _, doc, _, _, at, g = _pairs(b)
-            rare = ~_find(hot, g)[1]
-            at, g = at[rare], g[rare]
-            yield _pack((g % np.uint64(parts)).astype(np.int64), doc[at] if scored else np.zeros(len(at), np.int64),
+            g = _pairs(b)[-1]
+            g = g[~_find(hot, g)[1]]
+            yield _pack((g % np.uint64(parts)).astype(np.int64), np.zeros(len(g), np.int64),
                         [g, np.zeros(len(g), np.int8)], ["part", "docs", "runs", "a", "b"])
 
     return run
@@ -175,20 +174,6 @@ def _sums(runs: np.ndarray, values: np.ndarray) -> np.ndarray:
     return np.add.reduceat(values, np.cumsum(runs) - runs) if len(runs) else np.zeros(0)
 
 
-def _seen_in_own(t: pa.Table) -> pa.Table:
-    """Count table of one hash partition joined to the same partition's bigrams: every one is seen."""
-    g, runs = _joined(t, "a", np.uint64), _joined(t, "runs", np.int32)
-    order = np.argsort(g)
-    line = g[order]
-    edges = np.append(np.flatnonzero(np.append(True, line[1:] != line[:-1])) if len(g) else [], len(g)).astype(np.int64)
-    del line
-    n = np.diff(edges)
-    log_count = np.empty(len(g), np.float64)
-    log_count[order] = np.repeat(np.log(n), n)
-    none = np.zeros(0, np.uint64)
-    return _result(-1, _joined(t, "docs", np.int64), np.zeros(len(runs)), none, none, _sums(runs, log_count))
-
-
 def _seen_in_corpus(alpha: float, total: int):
     def run(counted: pa.Table, scored: pa.Table) -> pa.Table:
         keys, n = np.unique(_joined(counted, "a", np.uint64), return_counts=True)
@@ -207,21 +192,19 @@ def _seen_in_corpus(alpha: float, total: int):
     return run
 
 
-def _own_asks(total: int, closed: bool, alpha: float, hot: np.ndarray, count: np.ndarray):
-    """What documents ask of the unigram table: the first word's count over all words, in a closed
-    corpus the count of every context, else what their frequent pairs ask. Frequent pairs are scored here."""
+def _own_asks(total: int, alpha: float, hot: np.ndarray, count: np.ndarray):
+    """What documents ask of the unigram table: the first word's count over all words, and what their frequent pairs ask.
+    Frequent pairs are scored here."""
 
     def run(batches):
         for b in _slices(batches):
-            w, doc, first, last, pair, g = _pairs(b)
+            w, _, first, _, pair, g = _pairs(b)
             at, hit = _find(hot, g)
             pair, n = pair[hit], count[at[hit]]
             coef = first.astype(np.int64)
-            if closed:
-                coef -= ~last
-            else:  # seen: less the first word's count; unseen: the second word's alone
-                coef[pair[n > 0] - 1] -= 1
-                coef[pair[n == 0]] += 1
+            # seen: less the first word's count; unseen: the second word's alone
+            coef[pair[n > 0] - 1] -= 1
+            coef[pair[n == 0]] += 1
             use = coef != 0
             size = np.diff(b.column("words").offsets.to_numpy())
             ends = np.append(0, np.cumsum(use))
@@ -282,14 +265,14 @@ def _sums_of(batches):
                                               pa.array(np.frombuffer(row["s"], np.float64))], names=["doc_id", "s"])
 
 
-def score_documents(docs: DataFrame, corpus: DataFrame | None = None, alpha: float = 0.4,
-                    part_grams: int = PART_GRAMS, frequent: int = FREQUENT) -> DataFrame:
+def score_documents(docs: DataFrame, corpus: DataFrame, alpha: float = 0.4, part_grams: int = PART_GRAMS,
+                    frequent: int = FREQUENT) -> DataFrame:
     """Natural log of the stupid-backoff score of every whole document by a bigram model.
 
     A word scores count(pair) / count(word before), or alpha * count(word) / all words where the corpus has
     no such pair; the first word scores count(word) / all words, a word the corpus does not know counts
-    once. Counts are exact and over all documents of ``corpus`` (default: ``docs`` themselves, where no pair is
-    unseen). Returns doc_id, n_words, log_score, and mean_log_score per word.
+    once. Counts are exact and over all documents of ``corpus``; documents that are part of it are scored by their
+    own words too (``score_by_folds`` leaves them out). Returns doc_id, n_words, log_score, and mean_log_score per word.
 
     N-grams are exploded to 64-bit hashes, packed by hash partition (one row per task and partition instead of one per n-gram),
     counted there, and joined there to what documents ask; sums go back by document. Partitions are sized from the number of
@@ -301,10 +284,9 @@ def score_documents(docs: DataFrame, corpus: DataFrame | None = None, alpha: flo
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "lm")
-    closed = corpus is None
     ident = F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("doc_id")
     src = docs.select(ident, word_hashes("text").alias("words"))
-    base = src if closed else corpus.select(F.lit(0).cast("long").alias("doc_id"), word_hashes("text").alias("words"))
+    base = corpus.select(F.lit(0).cast("long").alias("doc_id"), word_hashes("text").alias("words"))
 
     table = scratch.table(base.select(F.explode("words").alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n")))
     total = table.agg(F.sum("n")).first()[0] or 0
@@ -312,20 +294,16 @@ def score_documents(docs: DataFrame, corpus: DataFrame | None = None, alpha: flo
     known = top.column("w").to_numpy().view(np.uint64)
     order = np.argsort(known)
     known, count = known[order], top.column("n").to_numpy()[order]
-    hot, pair_count = _frequent_pairs(base, None if closed else src, frequent)
+    hot, pair_count = _frequent_pairs(base, src, frequent)
     parts = max(12, -(-total // part_grams))
     rare_parts = max(12, -(-(total - int(count.sum())) // part_grams))
 
-    pairs = base.mapInArrow(_count_rows(parts, closed, hot), PACKED)
-    if closed:
-        seen = pairs.groupBy("part").applyInArrow(_seen_in_own, ASKED)
-    else:
-        asked = src.mapInArrow(_score_rows(parts, hot), PACKED)
-        seen = pairs.groupBy("part").cogroup(asked.groupBy("part")).applyInArrow(_seen_in_corpus(alpha, total), ASKED)
-    own, settle = _own_asks(total, closed, alpha, hot, pair_count), _frequent_first(rare_parts, known, count[:, None])
+    pairs = base.mapInArrow(_count_rows(parts, hot), PACKED)
+    asked = src.mapInArrow(_score_rows(parts, hot), PACKED)
+    seen = pairs.groupBy("part").cogroup(asked.groupBy("part")).applyInArrow(_seen_in_corpus(alpha, total), ASKED)
+    own, settle = _own_asks(total, alpha, hot, pair_count), _frequent_first(rare_parts, known, count[:, None])
     asks = src.mapInArrow(lambda batches: settle(own(batches)), ASKED)
-    # in a closed corpus the pairs ask nothing more
-    return _totals(scratch, src, asks.union(seen if closed else seen.mapInArrow(settle, ASKED)),
+    return _totals(scratch, src, asks.union(seen.mapInArrow(settle, ASKED)),
                    table.select(_part_of("w", rare_parts), "w", "n"), _answer)
 
 

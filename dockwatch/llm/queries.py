@@ -49,11 +49,12 @@ def _lm_scores(s: DataFrame) -> DataFrame:
 
 
 def op6_lm_scoring(spark: SparkSession, d: str) -> DataFrame:
-    return _lm_scores(ngram_lm.score_documents(read_table(spark, d, "documents")))
+    return _lm_scores(ngram_lm.score_by_folds(read_table(spark, d, "documents")))
 
 
-def op6_lm_scoring_by_folds(spark: SparkSession, d: str) -> DataFrame:
-    return _lm_scores(ngram_lm.score_by_folds(read_table(spark, d, "documents")))
+def op6_lm_scoring_given_corpus(spark: SparkSession, d: str) -> DataFrame:
+    docs = read_table(spark, d, "documents")
+    return _lm_scores(ngram_lm.score_documents(docs, docs))
 
 
 def op7_url_filters(spark: SparkSession, d: str) -> DataFrame:
@@ -139,7 +140,7 @@ FROM fit WHERE k = 1
 """
 
 
-OP6_SQL = """
+OP6_GIVEN_SQL = """
 WITH w AS (
     SELECT doc_id, [x for x in regexp_split_to_array(coalesce(text, ''), '\\s+') if x <> ''] AS ws FROM documents
 ), u AS (
@@ -159,7 +160,7 @@ FROM t LEFT JOIN s ON t.doc_id = s.doc_id GROUP BY t.doc_id, t.n_words
 """
 
 
-OP6_FOLDS_SQL = """
+OP6_SQL = """
 WITH w AS (
     SELECT coalesce(doc_id, -9223372036854775808) AS doc_id, [x for x in regexp_split_to_array(coalesce(text, ''), '\\s+') if x <> ''] AS ws
     FROM documents
@@ -232,5 +233,5 @@ SELECT doc_id, n_features, weight, score, CASE WHEN n_words >= 20 AND place <= d
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_top_k": OP2_SQL, "op6_lm_scoring": OP6_SQL, "op6_lm_scoring_by_folds": OP6_FOLDS_SQL, "op7_url_filters": OP7_SQL,
+    return {"op2_exact_top_k": OP2_SQL, "op6_lm_scoring": OP6_SQL, "op6_lm_scoring_given_corpus": OP6_GIVEN_SQL, "op7_url_filters": OP7_SQL,
             "op13_importance_resampling": OP13_SQL}

@@ -220,14 +220,14 @@ def test_backoff_scores(spark, odd_docs, no_docs):
     own = {r.doc_id: (r.text or "").split() for r in rows}
     df = odd_docs.where("doc_id is null or doc_id <> 4")
     want = brute(own, own.values())
-    got = {r.doc_id: r for r in ngram_lm.score_documents(df, frequent=3, part_grams=50).collect()}
+    got = {r.doc_id: r for r in ngram_lm.score_documents(df, df, frequent=3, part_grams=50).collect()}
     assert {i: r.n_words for i, r in got.items()} == {i: len(w) for i, w in own.items()}
     assert all(math.isclose(got[i].log_score, want[i], abs_tol=1e-6) for i in own)
     other = {i: w for i, w in own.items() if i in (1, 8, 9)}
     want = brute(own, other.values())
     got = {r.doc_id: r for r in ngram_lm.score_documents(df, df.where("doc_id in (1, 8, 9)"), frequent=2).collect()}
     assert all(math.isclose(got[i].log_score, want[i], abs_tol=1e-6) for i in own)
-    assert ngram_lm.score_documents(no_docs).count() == 0
+    assert ngram_lm.score_documents(no_docs, no_docs).count() == 0
 
 
 def test_frequent_pairs_stay_out_of_the_hash_partitions(spark, monkeypatch):
@@ -240,10 +240,11 @@ def test_frequent_pairs_stay_out_of_the_hash_partitions(spark, monkeypatch):
     assert sorted(count)[-2:] == [60 * 39, 60 * 40]  # exact: b a, a b
     monkeypatch.setattr(ngram_lm, "_pack", lambda part, *a: largest.append(np.bincount(part).max()) or pack(part, *a))
     batch = words.toArrow().combine_chunks().to_batches()
-    assert sum(r.num_rows for r in ngram_lm._count_rows(1, True, hot)(batch)) <= 1
+    assert sum(r.num_rows for r in ngram_lm._count_rows(1, hot)(batch)) <= 1
     assert max(largest) <= 60 * 3
+    monkeypatch.undo()
     n, pairs = Counter(" ".join(texts).split()), Counter(p for t in texts for p in zip(t.split(), t.split()[1:]))
-    for r in ngram_lm.score_documents(df, frequent=8, part_grams=100).collect():
+    for r in ngram_lm.score_documents(df, df, frequent=8, part_grams=100).collect():
         w = texts[r.doc_id].split()
         want = math.log(n["a"] / n.total()) + sum(math.log(pairs[p] / n[p[0]]) for p in zip(w, w[1:]))
         assert math.isclose(r.log_score, want, abs_tol=1e-6)
