@@ -7,6 +7,7 @@ import math
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,7 +38,8 @@ def _bigrams(v: np.ndarray, w: np.ndarray) -> np.ndarray:
 
 def _pack(part: np.ndarray, doc: np.ndarray, cols: list[np.ndarray], schema: list[str]):
     """One row per hash partition: the values of ``cols`` in document order, and how many each document has."""
-    order = np.lexsort((doc, part))
+    # rows are in document order; small numbers are sorted by radix
+    order = np.argsort(part.astype(np.uint16) if part.max(initial=0) < 1 << 16 else part, kind="stable")
     part, doc, cols = part[order], doc[order], [c[order] for c in cols]
     edges = np.flatnonzero(np.diff(part)) + 1
     out = []
@@ -99,24 +101,48 @@ def _folds_of(b: pa.RecordBatch, each: np.ndarray) -> np.ndarray:
     return np.repeat(b.column("fold").to_numpy(), np.diff(b.column("words").offsets.to_numpy()))[each].astype(np.int64)
 
 
+def _words_and_likely_pairs(batches):
+    """In one pass, counts of a slice's words by fold (kind 0) and its likely pairs (kind 1, fold 0)."""
+    for b in _slices(batches):
+        w, *_, g = _pairs(b)
+        fold = _folds_of(b, slice(None))
+        for f in range(FOLDS):
+            keys, n = np.unique(w[fold == f], return_counts=True)
+            yield _counted(0, f, keys, n)
+        keys, n = np.unique(g, return_counts=True)
+        keep = n * LIKELY >= len(g)
+        yield _counted(1, 0, keys[keep], n[keep])
+
+
+def _counted(kind: int, fold: int, keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    same = lambda x: pa.array(np.full(len(keys), x, np.int32))
+    return pa.RecordBatch.from_arrays([same(kind), same(fold), pa.array(keys.view(np.int64)), pa.array(n, pa.int64())],
+                                      names=["kind", "fold", "key", "n"])
+
+
 def _counts_of(hot: np.ndarray, folds: int):
+    """A task's counts of the frequent pairs, added up over its slices."""
     def run(batches):
+        total = np.zeros(len(hot) * folds, np.int64)
         for b in _slices(batches):
             *_, pair, g = _pairs(b)
             at, hit = _find(hot, g)
             key = at[hit] if folds == 1 else at[hit] * folds + _folds_of(b, pair[hit])
-            n = np.bincount(key, minlength=len(hot) * folds)
-            seen = np.flatnonzero(n)
-            yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(n[seen])], names=["at", "n"])
+            total += np.bincount(key, minlength=len(total))
+        seen = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], names=["at", "n"])
 
     return run
 
 
-def _frequent_pairs(base: DataFrame, src: DataFrame | None, most: int, folds: int = 1) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted hashes of at most ``most`` frequent pairs of the corpus or of the documents, and their exact counts in the corpus
-    (a column for each fold)."""
+def _frequent_pairs(base: DataFrame, src: DataFrame | None, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes of at most ``most`` frequent pairs of the corpus or of the documents, and their exact counts in the corpus."""
     both = base if src is None else base.union(src)
-    named = both.mapInArrow(_likely_pairs, "g long, n long").groupBy("g").agg(F.sum("n").alias("n"))
+    return _exact(base, both.mapInArrow(_likely_pairs, "g long, n long").groupBy("g").agg(F.sum("n").alias("n")), most)
+
+
+def _exact(base: DataFrame, named: DataFrame, most: int, folds: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent of the ``named`` pairs, and their exact counts (a column for each fold)."""
     hot = np.sort(named.orderBy(F.desc("n"), "g").limit(most).toArrow().column("g").to_numpy().view(np.uint64))
     found = base.mapInArrow(_counts_of(hot, folds), "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
     count = np.zeros(len(hot) * folds, np.int64)
@@ -160,14 +186,16 @@ def _joined(t: pa.Table, name: str, kind) -> np.ndarray:
     return np.frombuffer(arr.buffers()[2], np.uint8)[off[0]:off[-1]].view(kind)
 
 
-ASKED = "part int, docs binary, runs binary, a binary, b binary, s binary"
+#: Where ``words`` is given, it has the number of words of each document.
+ASKED = "part int, docs binary, runs binary, a binary, b binary, s binary, words binary"
 
 
-def _result(part, docs, runs, words, coef, sums):
+def _result(part, docs, runs, words, coef, sums, sizes=None):
     return pa.table({"part": pa.array([part], pa.int32()), "docs": pa.array([docs.tobytes()], pa.binary()),
                      "runs": pa.array([runs.astype(np.int32).tobytes()], pa.binary()),
                      "a": pa.array([words.tobytes()], pa.binary()), "b": pa.array([coef.astype(np.int8).tobytes()], pa.binary()),
-                     "s": pa.array([sums.astype(np.float64).tobytes()], pa.binary())})
+                     "s": pa.array([sums.astype(np.float64).tobytes()], pa.binary()),
+                     "words": pa.array([None if sizes is None else sizes.astype(np.int64).tobytes()], pa.binary())})
 
 
 def _sums(runs: np.ndarray, values: np.ndarray) -> np.ndarray:
@@ -213,7 +241,7 @@ def _own_asks(total: int, alpha: float, hot: np.ndarray, count: np.ndarray):
             s = np.where(size > 0, -math.log(max(total, 1)), 0.0)
             log_n = np.where(n > 0, np.log(np.maximum(n, 1)), math.log(alpha) - math.log(max(total, 1)))
             s = s + np.bincount(np.repeat(np.arange(len(size)), size)[pair], log_n, len(size))
-            yield _result(-1, b.column("doc_id").to_numpy(), runs, w[use], coef[use], s).to_batches()[0]
+            yield _result(-1, b.column("doc_id").to_numpy(), runs, w[use], coef[use], s, size).to_batches()[0]
 
     return run
 
@@ -231,12 +259,14 @@ def _frequent_first(parts: int, known: np.ndarray, count: np.ndarray):
                 at = np.minimum(np.searchsorted(known, w), max(len(known) - 1, 0))
                 hit = known[at] == w if len(known) else np.zeros(len(w), bool)
                 s = s + np.bincount(owner[hit], np.sign(coef[hit]) * np.log(count[at[hit], np.abs(coef[hit]) - 1]), len(docs))
-                yield _result(-1, docs, runs * 0, w[:0], coef[:0], s).to_batches()[0]
+                sizes = row["words"] and np.frombuffer(row["words"], np.int64)
+                yield _result(-1, docs, runs * 0, w[:0], coef[:0], s, sizes).to_batches()[0]
                 rest = ~hit
                 packed = _pack((w[rest] % np.uint64(parts)).astype(np.int64), docs[owner[rest]], [w[rest], coef[rest]],
                                ["part", "docs", "runs", "a", "b"])
                 if packed.num_rows:
-                    yield packed.append_column("s", pa.nulls(packed.num_rows, pa.binary()))
+                    none = pa.nulls(packed.num_rows, pa.binary())
+                    yield packed.append_column("s", none).append_column("words", none)
 
     return run
 
@@ -261,8 +291,10 @@ def _answer(counted: pa.Table, asked: pa.Table) -> pa.Table:
 def _sums_of(batches):
     for b in batches:
         for row in b.to_pylist():
-            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(row["docs"], np.int64)),
-                                              pa.array(np.frombuffer(row["s"], np.float64))], names=["doc_id", "s"])
+            docs = np.frombuffer(row["docs"], np.int64)
+            n = np.frombuffer(row["words"], np.int64) if row["words"] else np.zeros(len(docs), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(docs), pa.array(n), pa.array(np.frombuffer(row["s"], np.float64))],
+                                             names=["doc_id", "n", "s"])
 
 
 def score_documents(docs: DataFrame, corpus: DataFrame, alpha: float = 0.4, part_grams: int = PART_GRAMS,
@@ -303,7 +335,7 @@ def score_documents(docs: DataFrame, corpus: DataFrame, alpha: float = 0.4, part
     seen = pairs.groupBy("part").cogroup(asked.groupBy("part")).applyInArrow(_seen_in_corpus(alpha, total), ASKED)
     own, settle = _own_asks(total, alpha, hot, pair_count), _frequent_first(rare_parts, known, count[:, None])
     asks = src.mapInArrow(lambda batches: settle(own(batches)), ASKED)
-    return _totals(scratch, src, asks.union(seen.mapInArrow(settle, ASKED)),
+    return _totals(scratch, asks.union(seen.mapInArrow(settle, ASKED)),
                    table.select(_part_of("w", rare_parts), "w", "n"), _answer)
 
 
@@ -312,78 +344,92 @@ def _part_of(word: str, parts: int):
     return F.expr(f"cast(pmod({word} % {parts} + if({word} < 0, {(1 << 64) % parts}, 0), {parts}) as int)").alias("part")
 
 
-def _totals(scratch: Scratch, src: DataFrame, asked: DataFrame, rare: DataFrame, answer) -> DataFrame:
+def _totals(scratch: Scratch, asked: DataFrame, rare: DataFrame, answer) -> DataFrame:
     """Scores by document from what is settled and what is still asked of the table of rare words."""
     settled = scratch.table(asked)
     answers = rare.groupBy("part").cogroup(settled.where("part >= 0").groupBy("part")).applyInArrow(
         answer, "doc_id long, s double")
-    sums = settled.where("part < 0").mapInArrow(_sums_of, "doc_id long, s double").union(answers)
-    size = src.select("doc_id", F.size("words").cast("long").alias("n"), F.lit(0.0).alias("s"))
-    out = sums.select("doc_id", F.lit(0).cast("long").alias("n"), "s").union(size).groupBy("doc_id").agg(
+    own = settled.where("part < 0").mapInArrow(_sums_of, "doc_id long, n long, s double")
+    out = own.union(answers.select("doc_id", F.lit(0).cast("long").alias("n"), "s")).groupBy("doc_id").agg(
         F.sum("n").alias("n_words"), F.sum("s").alias("log_score"))
     return out.select(F.when(F.col("doc_id") != _NO_ID, F.col("doc_id")).alias("doc_id"), "n_words", "log_score",
                       (F.col("log_score") / F.nullif("n_words", F.lit(0))).alias("mean_log_score"))
 
 
-def _asks_by_fold(rest: np.ndarray, alpha: float, hot: np.ndarray, count: np.ndarray):
-    """What documents ask of the other folds' unigram counts for their first word and for their frequent pairs."""
+#: ``goal`` is null for bigrams, else the row is settled or asks already, and ``goal`` its part.
+BY_FOLD = f"{ASKED}, fold int, goal int"
 
-    def run(batches):
-        for b in _slices(batches):
-            w, _, first, _, pair, g = _pairs(b)
-            at, hit = _find(hot, g)
-            pair = pair[hit]
-            size, whole = np.diff(b.column("words").offsets.to_numpy()), b.column("fold").to_numpy()
-            fold = _folds_of(b, np.arange(len(w)))
-            n = count[at[hit], fold[pair]]
-            coef = first.astype(np.int64)
-            coef[pair[n > 0] - 1] -= 1
-            coef[pair[n == 0]] += 1
-            use = coef != 0
-            ends = np.append(0, np.cumsum(use))
-            stop = np.cumsum(size)
-            log_n = np.where(n > 0, np.log(np.maximum(n, 1)), math.log(alpha) - rest[fold[pair]])
-            s = np.where(size > 0, -rest[whole], 0.0) + np.bincount(np.repeat(np.arange(len(size)), size)[pair], log_n, len(size))
-            yield _result(-1, b.column("doc_id").to_numpy(), ends[stop] - ends[stop - size], w[use],
-                          (coef * (1 + fold))[use], s).to_batches()[0]
 
-    return run
+def _rows_by_fold(parts: int, rest: np.ndarray, alpha: float, hot: np.ndarray, count: np.ndarray, settle):
+    """In one pass, rare bigrams as both words, packed by hash partition and fold, and what documents ask of the other folds'
+    unigram counts for their first word and for their frequent pairs. The latter take the shuffle's way with the bigrams, spread over
+    its partitions."""
+
+    def rare_rows(b, w, doc, at, g):
+        key = (g % np.uint64(parts)).astype(np.int64) * FOLDS + _folds_of(b, at)
+        rows = _pack(key, doc[at], [w[at - 1], w[at]], ["part", "docs", "runs", "a", "b"])
+        key, none = rows.column("part").to_numpy(), pa.nulls(rows.num_rows, pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(key // FOLDS, pa.int32()), *rows.columns[1:], none, none,
+                                           pa.array(key % FOLDS, pa.int32()), pa.nulls(rows.num_rows, pa.int32())], names=names)
 
+    def asks(b, w, first, pair, at):
+        size, whole = np.diff(b.column("words").offsets.to_numpy()), b.column("fold").to_numpy()
+        fold = _folds_of(b, slice(None))
+        n = count[at, fold[pair]]
+        coef = first.astype(np.int64)
+        coef[pair[n > 0] - 1] -= 1
+        coef[pair[n == 0]] += 1
+        use = coef != 0
+        ends = np.append(0, np.cumsum(use))
+        stop = np.cumsum(size)
+        log_n = np.where(n > 0, np.log(np.maximum(n, 1)), math.log(alpha) - rest[fold[pair]])
+        s = np.where(size > 0, -rest[whole], 0.0) + np.bincount(np.repeat(np.arange(len(size)), size)[pair], log_n, len(size))
+        return _result(-1, b.column("doc_id").to_numpy(), ends[stop] - ends[stop - size], w[use], (coef * (1 + fold))[use], s, size)
 
-def _rows_by_fold(parts: int, hot: np.ndarray):
-    """Rare bigrams as both words, packed by hash partition and fold."""
+    names = [c.split()[0] for c in BY_FOLD.split(", ")]
 
     def run(batches):
+        turn = TaskContext.get().partitionId()
         for b in _slices(batches):
-            w, doc, _, _, at, g = _pairs(b)
-            rare = ~_find(hot, g)[1]
-            at, g = at[rare], g[rare]
-            key = (g % np.uint64(parts)).astype(np.int64) * FOLDS + _folds_of(b, at)
-            rows = _pack(key, doc[at], [w[at - 1], w[at]], ["part", "docs", "runs", "a", "b"])
-            key = rows.column("part").to_numpy()
-            yield pa.RecordBatch.from_arrays([pa.array(key // FOLDS, pa.int32()), *rows.columns[1:], pa.array(key % FOLDS, pa.int32())],
-                                             names=[*rows.schema.names, "fold"])
+            w, doc, first, _, pair, g = _pairs(b)
+            at, hit = _find(hot, g)
+            yield rare_rows(b, w, doc, pair[~hit], g[~hit])
+            for x in settle(asks(b, w, first, pair[hit], at[hit]).to_batches()):
+                turn += 1
+                same = pa.array(np.full(x.num_rows, turn % parts), pa.int32())
+                yield pa.RecordBatch.from_arrays([same, *x.columns[1:], pa.nulls(x.num_rows, pa.int32()), x.column("part")], names=names)
 
     return run
 
 
-def _seen_in_folds(rest: np.ndarray, alpha: float):
-    """Bigrams of one hash partition, each scored by its count in the other folds."""
+def _seen_in_folds(rest: np.ndarray, alpha: float, settle):
+    """Bigrams of one hash partition, each scored by its count in the other folds; the partition's other rows pass."""
 
     def run(t: pa.Table) -> pa.Table:
+        ready = pc.is_valid(t.column("goal"))
+        done = t.filter(ready)
+        done = done.set_column(0, "part", done.column("goal")).drop_columns(["fold", "goal"])
+        t = t.filter(pc.invert(ready))
         v, w, runs = _joined(t, "a", np.uint64), _joined(t, "b", np.uint64), _joined(t, "runs", np.int32)
         fold = np.repeat(column(t, "fold").to_numpy(), pc.binary_length(column(t, "a")).to_numpy() // 8).astype(np.int8)
         g = _bigrams(v, w)
-        order = np.lexsort((fold, g))
-        new = np.append(True, np.diff(g[order]) != 0)[:len(g)]
-        own = new | np.append(True, np.diff(fold[order]) != 0)[:len(g)]
-        total, mine = (np.diff(np.append(np.flatnonzero(x), len(g))) for x in (new, own))
-        n = np.empty(len(g), np.int64)
-        n[order] = np.repeat(total, total) - np.repeat(mine, mine)
+        order = np.argsort(g)
+        line = g[order]
+        new = np.append(True, line[1:] != line[:-1])[:len(g)]
+        total = np.diff(np.append(np.flatnonzero(new), len(g)))
+        many = np.flatnonzero(np.repeat(total > 1, total))  # a bigram that occurs once is in no other fold
+        group = (np.cumsum(new) - 1)[many]
+        key = group * FOLDS + fold[order[many]]
+        inner = np.argsort(key)
+        own = np.append(True, np.diff(key[inner]) != 0)[:len(key)]
+        mine = np.diff(np.append(np.flatnonzero(own), len(key)))
+        n = np.zeros(len(g), np.int64)
+        n[order[many[inner]]] = total[group[inner]] - np.repeat(mine, mine)
         seen = n > 0
         s = np.where(seen, np.log(np.maximum(n, 1)), math.log(alpha) - rest[fold])
         coef = np.where(seen, -1, 1) * (1 + fold)
-        return _result(-1, _joined(t, "docs", np.int64), runs, np.where(seen, v, w), coef, _sums(runs, s))
+        asked = _result(-1, _joined(t, "docs", np.int64), runs, np.where(seen, v, w), coef, _sums(runs, s))
+        return pa.concat_tables([done, *(pa.Table.from_batches([x]) for x in settle(asked.to_batches()))])
 
     return run
 
@@ -421,7 +467,9 @@ def score_by_folds(docs: DataFrame, alpha: float = 0.4, part_grams: int = FOLD_P
     ident = F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID))
     digit = F.conv(F.substring(F.md5(ident.cast("string").cast("binary")), 1, 1), 16, 10).cast("int")
     src = docs.select(ident.alias("doc_id"), digit.alias("fold"), word_hashes("text").alias("words"))
-    table = scratch.table(src.select("fold", F.explode("words").alias("w")).groupBy("fold", "w").agg(F.count(F.lit(1)).alias("n")))
+    counted = scratch.table(src.mapInArrow(_words_and_likely_pairs, "kind int, fold int, key long, n long")
+                            .groupBy("kind", "fold", "key").agg(F.sum("n").alias("n")))
+    table = counted.where("kind = 0").select("fold", F.col("key").alias("w"), "n")
     sizes = np.zeros(FOLDS, np.int64)
     for r in table.groupBy("fold").agg(F.sum("n").alias("n")).collect():  # at most FOLDS rows
         sizes[r.fold] = r.n
@@ -433,11 +481,11 @@ def score_by_folds(docs: DataFrame, alpha: float = 0.4, part_grams: int = FOLD_P
     own = np.zeros((len(known), FOLDS), np.int64)
     own[at, t.column("fold").to_numpy()] = t.column("n").to_numpy()
     count = np.maximum(own.sum(axis=1, keepdims=True) - own, 1)
-    hot, pairs = _frequent_pairs(src, None, frequent, FOLDS)
+    hot, pairs = _exact(src, counted.where("kind = 1").select(F.col("key").alias("g"), "n"), frequent, FOLDS)
     pairs = pairs.sum(axis=1, keepdims=True) - pairs
     parts = max(12, -(-total // part_grams))
     rare_parts = max(12, -(-(total - int(own.sum())) // part_grams))
-    asks, settle = _asks_by_fold(rest, alpha, hot, pairs), _frequent_first(rare_parts, known, count)
-    seen = src.mapInArrow(_rows_by_fold(parts, hot), PACKED + ", fold int").groupBy("part").applyInArrow(_seen_in_folds(rest, alpha), ASKED)
-    asked = src.mapInArrow(lambda batches: settle(asks(batches)), ASKED).union(seen.mapInArrow(settle, ASKED))
-    return _totals(scratch, src, asked, table.select(_part_of("w", rare_parts), "fold", "w", "n"), _answer_folds)
+    settle = _frequent_first(rare_parts, known, count)
+    rows = src.mapInArrow(_rows_by_fold(parts, rest, alpha, hot, pairs, settle), BY_FOLD)
+    asked = rows.groupBy("part").applyInArrow(_seen_in_folds(rest, alpha, settle), ASKED)
+    return _totals(scratch, asked, table.select(_part_of("w", rare_parts), "fold", "w", "n"), _answer_folds)
