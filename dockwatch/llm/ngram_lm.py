@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from dockwatch.llm.jaccard import _mix, _row_slices, word_hashes
 from dockwatch.llm.shared import Scratch, column, list_values
 
-#: Words whose counts every task holds: the most frequent ones, at most this many (16 bytes each).
-FREQUENT = 1 << 16
+#: Words whose counts every task holds: the most frequent ones, at most this many. Their places are numbers of 16 bits.
+FREQUENT = (1 << 16) - 1
 #: A slice names a pair that is likely frequent once it makes up one in so many of the slice's pairs.
 LIKELY = 1 << 13
 #: Parts of a corpus that is scored by the counts of its other parts: one for each first digit of the id's md5.
@@ -24,7 +24,11 @@ FOLDS = 16
 #: so partitions are as large as a task's memory allows.
 PART_GRAMS = 6_000_000
 #: The same where both words of an n-gram travel.
-FOLD_PART_GRAMS = 2_000_000
+FOLD_PART_GRAMS = 4_000_000
+#: Rare words a task counts before it sends them.
+RARE_HELD = 1 << 22
+#: Rows of dense counts that are added up at a time.
+FAN = 256
 #: Words a task packs at a time.
 WORDS_AT_ONCE = 1 << 19
 _FIRST, _SECOND = np.uint64(0x9E6C63D0876A9A47), np.uint64(0xD1342543DE82EF95)
@@ -36,24 +40,45 @@ def _bigrams(v: np.ndarray, w: np.ndarray) -> np.ndarray:
     return _mix(v * _FIRST + w * _SECOND + (w >> np.uint64(32)))
 
 
-def _pack(part: np.ndarray, doc: np.ndarray, cols: list[np.ndarray], schema: list[str]):
-    """One row per hash partition: the values of ``cols`` in document order, and how many each document has."""
+def _groups(part: np.ndarray, doc: np.ndarray):
+    """The order by hash partition, and for each one its number, its rows' bounds, its documents and how many rows each has."""
     # rows are in document order; small numbers are sorted by radix
     order = np.argsort(part.astype(np.uint16) if part.max(initial=0) < 1 << 16 else part, kind="stable")
-    part, doc, cols = part[order], doc[order], [c[order] for c in cols]
+    part, doc = part[order], doc[order]
     edges = np.flatnonzero(np.diff(part)) + 1
     out = []
     for s, e in zip(np.append(0, edges), np.append(edges, len(part))):
-        if s == e:
-            continue
-        start = np.flatnonzero(np.append(True, doc[s + 1:e] != doc[s:e - 1]))
-        runs = np.diff(np.append(start, e - s)).astype(np.int32)
-        out.append((int(part[s]), doc[s:e][start].tobytes(), runs.tobytes(), *(c[s:e].tobytes() for c in cols)))
-    cols = list(zip(*out)) or [()] * len(schema)
+        if s < e:
+            start = np.flatnonzero(np.append(True, doc[s + 1:e] != doc[s:e - 1]))
+            runs = np.diff(np.append(start, e - s)).astype(np.int32)
+            out.append((int(part[s]), s, e, doc[s:e][start].tobytes(), runs.tobytes()))
+    return order, out
+
+
+def _packed(rows: list[tuple], schema: list[str]) -> pa.RecordBatch:
+    cols = list(zip(*rows)) or [()] * len(schema)
     return pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if n == "part" else pa.binary()) for n, c in zip(schema, cols)],
                                       names=schema)
 
 
+def _pack(part: np.ndarray, doc: np.ndarray, cols: list[np.ndarray], schema: list[str]):
+    """One row per hash partition: the values of ``cols`` in document order, and how many each document has."""
+    order, groups = _groups(part, doc)
+    cols = [c[order] for c in cols]
+    return _packed([(p, docs, runs, *(c[s:e].tobytes() for c in cols)) for p, s, e, docs, runs in groups], schema)
+
+
+def _pack_coded(part: np.ndarray, doc: np.ndarray, pairs: np.ndarray, codes: np.ndarray):
+    """As ``_pack`` for pairs (n, 2) of words: their codes (column a), and the hashes of those without one (b)."""
+    order, groups = _groups(part, doc)
+    codes = codes[order].reshape(-1)
+    none = codes == FREQUENT
+    rest = pairs[order].reshape(-1)[none]
+    ends = np.append(0, np.cumsum(none))
+    return _packed([(p, docs, runs, codes[2 * s:2 * e].tobytes(), rest[ends[2 * s]:ends[2 * e]].tobytes())
+                    for p, s, e, docs, runs in groups], ["part", "docs", "runs", "a", "b"])
+
+
 def _slices(batches):
     for b in batches:
         for i, j in _row_slices(b.column("words").offsets.to_numpy(), WORDS_AT_ONCE):
@@ -101,34 +126,90 @@ def _folds_of(b: pa.RecordBatch, each: np.ndarray) -> np.ndarray:
     return np.repeat(b.column("fold").to_numpy(), np.diff(b.column("words").offsets.to_numpy()))[each].astype(np.int64)
 
 
-def _words_and_likely_pairs(batches):
-    """In one pass, counts of a slice's words by fold (kind 0) and its likely pairs (kind 1, fold 0)."""
+def _likely(batches):
+    """Words (kind 0) and pairs (kind 1) of a slice that may be frequent, with their counts there: at most ``FREQUENT`` and
+    ``LIKELY`` of them."""
     for b in _slices(batches):
         w, *_, g = _pairs(b)
-        fold = _folds_of(b, slice(None))
-        for f in range(FOLDS):
-            keys, n = np.unique(w[fold == f], return_counts=True)
-            yield _counted(0, f, keys, n)
-        keys, n = np.unique(g, return_counts=True)
-        keep = n * LIKELY >= len(g)
-        yield _counted(1, 0, keys[keep], n[keep])
+        for kind, all_, most in ((0, w, FREQUENT), (1, g, LIKELY)):
+            keys, n = np.unique(all_, return_counts=True)
+            keep = n * most >= len(all_)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(keep.sum(), kind, np.int32)), pa.array(keys[keep].view(np.int64)),
+                                              pa.array(n[keep], pa.int64())], names=["kind", "key", "n"])
+
+
+def _most(named: DataFrame, kind: int, most: int) -> np.ndarray:
+    """Sorted hashes of the most frequent words or pairs named."""
+    top = named.where(F.col("kind") == kind).orderBy(F.desc("n"), "key").limit(most).toArrow()
+    return np.sort(top.column("key").to_numpy().view(np.uint64))
+
+
+DENSE = "kind int, fold int, node long, counts binary"
 
 
-def _counted(kind: int, fold: int, keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-    same = lambda x: pa.array(np.full(len(keys), x, np.int32))
-    return pa.RecordBatch.from_arrays([same(kind), same(fold), pa.array(keys.view(np.int64)), pa.array(n, pa.int64())],
-                                      names=["kind", "fold", "key", "n"])
+def _dense_row(kind: int, fold: int, node: int, counts: np.ndarray) -> pa.RecordBatch:
+    raw = pa.compress(np.ascontiguousarray(counts), "zstd", asbytes=True) if len(counts) else b""
+    return pa.RecordBatch.from_arrays([pa.array([kind], pa.int32()), pa.array([fold], pa.int32()), pa.array([node], pa.int64()),
+                                       pa.array([raw], pa.binary())], names=["kind", "fold", "node", "counts"])
 
 
-def _counts_of(hot: np.ndarray, folds: int):
+def _task_counts(known: np.ndarray, hot: np.ndarray):
+    """A task's counts by fold: of the frequent words (kind 0), of the frequent pairs (kind 1), of all words (kind 2)."""
+    sizes = [len(known), len(hot), 1]
+
+    def run(batches):
+        sums = [np.zeros(FOLDS * n, np.int64) for n in sizes]
+        for b in _slices(batches):
+            w, _, _, _, pair, g = _pairs(b)
+            fold = _folds_of(b, slice(None))
+            for total, keys, asked, f in ((sums[0], known, w, fold), (sums[1], hot, g, fold[pair])):
+                at, hit = _find(keys, asked)
+                total += np.bincount(f[hit] * len(keys) + at[hit], minlength=len(total))
+            sums[2] += np.bincount(fold, minlength=FOLDS)
+        node = TaskContext.get().partitionId()
+        for kind, total in enumerate(sums):
+            for fold, counts in enumerate(total.reshape(FOLDS, -1)):
+                yield _dense_row(kind, fold, node, counts)
+
+    return run
+
+
+def _added(sizes: list[int]):
+    def run(t: pa.Table) -> pa.Table:
+        kind, fold, node = (column(t, n)[0].as_py() for n in ("kind", "fold", "node"))
+        total = np.zeros(sizes[kind], np.int64)
+        for raw in column(t, "counts"):
+            if len(total):
+                total += np.frombuffer(pa.decompress(raw.as_py(), total.nbytes, "zstd", asbytes=True), np.int64)
+        return pa.Table.from_batches([_dense_row(kind, fold, node, total)])
+
+    return run
+
+
+def _dense_counts(src: DataFrame, known: np.ndarray, hot: np.ndarray, scratch: Scratch) -> list[np.ndarray]:
+    """Exact counts, (size, FOLDS) for each kind of ``_task_counts``, added up by a tree of ``FAN`` tasks a node."""
+    sizes = [len(known), len(hot), 1]
+    rows = scratch.table(src.mapInArrow(_task_counts(known, hot), DENSE))
+    top = rows.agg(F.max("node")).first()[0] or 0
+    while True:
+        top //= FAN
+        rows = rows.withColumn("node", F.expr(f"node div {FAN}")).groupBy("kind", "fold", "node").applyInArrow(_added(sizes), DENSE)
+        if not top:
+            break
+    out = [np.zeros((n, FOLDS), np.int64) for n in sizes]
+    for r in rows.collect():  # a row for each kind and fold
+        if sizes[r.kind]:
+            out[r.kind][:, r.fold] = np.frombuffer(pa.decompress(r.counts, 8 * sizes[r.kind], "zstd", asbytes=True), np.int64)
+    return out
+
+
+def _counts_of(hot: np.ndarray):
     """A task's counts of the frequent pairs, added up over its slices."""
     def run(batches):
-        total = np.zeros(len(hot) * folds, np.int64)
+        total = np.zeros(len(hot), np.int64)
         for b in _slices(batches):
-            *_, pair, g = _pairs(b)
-            at, hit = _find(hot, g)
-            key = at[hit] if folds == 1 else at[hit] * folds + _folds_of(b, pair[hit])
-            total += np.bincount(key, minlength=len(total))
+            at, hit = _find(hot, _pairs(b)[-1])
+            total += np.bincount(at[hit], minlength=len(total))
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], names=["at", "n"])
 
@@ -138,16 +219,12 @@ def _counts_of(hot: np.ndarray, folds: int):
 def _frequent_pairs(base: DataFrame, src: DataFrame | None, most: int) -> tuple[np.ndarray, np.ndarray]:
     """Sorted hashes of at most ``most`` frequent pairs of the corpus or of the documents, and their exact counts in the corpus."""
     both = base if src is None else base.union(src)
-    return _exact(base, both.mapInArrow(_likely_pairs, "g long, n long").groupBy("g").agg(F.sum("n").alias("n")), most)
-
-
-def _exact(base: DataFrame, named: DataFrame, most: int, folds: int = 1) -> tuple[np.ndarray, np.ndarray]:
-    """The most frequent of the ``named`` pairs, and their exact counts (a column for each fold)."""
+    named = both.mapInArrow(_likely_pairs, "g long, n long").groupBy("g").agg(F.sum("n").alias("n"))
     hot = np.sort(named.orderBy(F.desc("n"), "g").limit(most).toArrow().column("g").to_numpy().view(np.uint64))
-    found = base.mapInArrow(_counts_of(hot, folds), "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
-    count = np.zeros(len(hot) * folds, np.int64)
+    found = base.mapInArrow(_counts_of(hot), "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+    count = np.zeros(len(hot), np.int64)
     count[found.column("at").to_numpy()] = found.column("n").to_numpy()
-    return hot, count if folds == 1 else count.reshape(-1, folds)
+    return hot, count
 
 
 def _count_rows(parts: int, hot: np.ndarray):
@@ -335,8 +412,7 @@ def score_documents(docs: DataFrame, corpus: DataFrame, alpha: float = 0.4, part
     seen = pairs.groupBy("part").cogroup(asked.groupBy("part")).applyInArrow(_seen_in_corpus(alpha, total), ASKED)
     own, settle = _own_asks(total, alpha, hot, pair_count), _frequent_first(rare_parts, known, count[:, None])
     asks = src.mapInArrow(lambda batches: settle(own(batches)), ASKED)
-    return _totals(scratch, asks.union(seen.mapInArrow(settle, ASKED)),
-                   table.select(_part_of("w", rare_parts), "w", "n"), _answer)
+    return _totals(asks.union(seen.mapInArrow(settle, ASKED)), table.select(_part_of("w", rare_parts), "w", "n"), rare_parts, _answer)
 
 
 def _part_of(word: str, parts: int):
@@ -344,14 +420,19 @@ def _part_of(word: str, parts: int):
     return F.expr(f"cast(pmod({word} % {parts} + if({word} < 0, {(1 << 64) % parts}, 0), {parts}) as int)").alias("part")
 
 
-def _totals(scratch: Scratch, asked: DataFrame, rare: DataFrame, answer) -> DataFrame:
-    """Scores by document from what is settled and what is still asked of the table of rare words."""
-    settled = scratch.table(asked)
-    answers = rare.groupBy("part").cogroup(settled.where("part >= 0").groupBy("part")).applyInArrow(
-        answer, "doc_id long, s double")
-    own = settled.where("part < 0").mapInArrow(_sums_of, "doc_id long, n long, s double")
-    out = own.union(answers.select("doc_id", F.lit(0).cast("long").alias("n"), "s")).groupBy("doc_id").agg(
-        F.sum("n").alias("n_words"), F.sum("s").alias("log_score"))
+def _totals(asked: DataFrame, rare: DataFrame, parts: int, answer) -> DataFrame:
+    """Scores by document from what is settled (part -1) and what is still asked of the table of rare words. Settled rows take the same
+    shuffle, spread over its partitions, so nothing is computed or written twice."""
+    def run(counted: pa.Table, t: pa.Table) -> pa.Table:
+        ready = pc.less(t.column("part"), 0)
+        own = pa.Table.from_batches(_sums_of(t.filter(ready).to_batches()), pa.schema(
+            [("doc_id", pa.int64()), ("n", pa.int64()), ("s", pa.float64())]))
+        rest = answer(counted, t.filter(pc.invert(ready)))
+        return pa.concat_tables([own, rest.add_column(1, "n", pa.array(np.zeros(rest.num_rows, np.int64)))])
+
+    at = F.when(F.col("part") < 0, F.pmod(F.xxhash64("docs", "s"), F.lit(parts))).otherwise(F.col("part")).cast("int")
+    out = rare.groupBy("part").cogroup(asked.withColumn("at", at).groupBy("at")).applyInArrow(run, "doc_id long, n long, s double")
+    out = out.groupBy("doc_id").agg(F.sum("n").alias("n_words"), F.sum("s").alias("log_score"))
     return out.select(F.when(F.col("doc_id") != _NO_ID, F.col("doc_id")).alias("doc_id"), "n_words", "log_score",
                       (F.col("log_score") / F.nullif("n_words", F.lit(0))).alias("mean_log_score"))
 
@@ -360,14 +441,16 @@ def _totals(scratch: Scratch, asked: DataFrame, rare: DataFrame, answer) -> Data
 BY_FOLD = f"{ASKED}, fold int, goal int"
 
 
-def _rows_by_fold(parts: int, rest: np.ndarray, alpha: float, hot: np.ndarray, count: np.ndarray, settle):
-    """In one pass, rare bigrams as both words, packed by hash partition and fold, and what documents ask of the other folds'
+def _rows_by_fold(parts: int, rest: np.ndarray, alpha: float, known: np.ndarray, hot: np.ndarray, count: np.ndarray, settle):
+    """In one pass, rare bigrams as both words (coded where they are frequent), packed by hash partition and fold, and what documents ask of the other folds'
     unigram counts for their first word and for their frequent pairs. The latter take the shuffle's way with the bigrams, spread over
     its partitions."""
 
     def rare_rows(b, w, doc, at, g):
         key = (g % np.uint64(parts)).astype(np.int64) * FOLDS + _folds_of(b, at)
-        rows = _pack(key, doc[at], [w[at - 1], w[at]], ["part", "docs", "runs", "a", "b"])
+        place, hit = _find(known, w)
+        code = np.where(hit, place, FREQUENT).astype(np.uint16)
+        rows = _pack_coded(key, doc[at], np.stack([w[at - 1], w[at]], 1), np.stack([code[at - 1], code[at]], 1))
         key, none = rows.column("part").to_numpy(), pa.nulls(rows.num_rows, pa.binary())
         return pa.RecordBatch.from_arrays([pa.array(key // FOLDS, pa.int32()), *rows.columns[1:], none, none,
                                            pa.array(key % FOLDS, pa.int32()), pa.nulls(rows.num_rows, pa.int32())], names=names)
@@ -402,7 +485,7 @@ def _rows_by_fold(parts: int, rest: np.ndarray, alpha: float, hot: np.ndarray, c
     return run
 
 
-def _seen_in_folds(rest: np.ndarray, alpha: float, settle):
+def _seen_in_folds(rest: np.ndarray, alpha: float, known: np.ndarray, settle):
     """Bigrams of one hash partition, each scored by its count in the other folds; the partition's other rows pass."""
 
     def run(t: pa.Table) -> pa.Table:
@@ -410,8 +493,11 @@ def _seen_in_folds(rest: np.ndarray, alpha: float, settle):
         done = t.filter(ready)
         done = done.set_column(0, "part", done.column("goal")).drop_columns(["fold", "goal"])
         t = t.filter(pc.invert(ready))
-        v, w, runs = _joined(t, "a", np.uint64), _joined(t, "b", np.uint64), _joined(t, "runs", np.int32)
-        fold = np.repeat(column(t, "fold").to_numpy(), pc.binary_length(column(t, "a")).to_numpy() // 8).astype(np.int8)
+        code, runs = _joined(t, "a", np.uint16), _joined(t, "runs", np.int32)
+        fold = np.repeat(column(t, "fold").to_numpy(), pc.binary_length(column(t, "a")).to_numpy() // 4).astype(np.int8)
+        both = np.append(known, np.uint64(0))[np.minimum(code, len(known))]
+        both[code == FREQUENT] = _joined(t, "b", np.uint64)
+        v, w = both[::2], both[1::2]
         g = _bigrams(v, w)
         order = np.argsort(g)
         line = g[order]
@@ -434,18 +520,51 @@ def _seen_in_folds(rest: np.ndarray, alpha: float, settle):
     return run
 
 
+RARE = "part int, docs binary, runs binary, a binary, b binary, fold int"
+
+
+def _rare_words(parts: int, known: np.ndarray):
+    """Counts by fold of the words that are not frequent, packed by hash partition; a task counts ``RARE_HELD`` of them at a time."""
+
+    def counted(held):
+        w, fold = (np.concatenate(x) for x in zip(*held))
+        for f in range(FOLDS):
+            keys, n = np.unique(w[fold == f], return_counts=True)
+            rows = _pack((keys % np.uint64(parts)).astype(np.int64), np.zeros(len(keys), np.int64), [keys, n.astype(np.int64)],
+                         ["part", "docs", "runs", "a", "b"])
+            yield rows.append_column("fold", pa.array(np.full(rows.num_rows, f, np.int32)))
+
+    def run(batches):
+        held, size = [], 0
+        for b in _slices(batches):
+            w = _words(b)[0]
+            rare = ~_find(known, w)[1]
+            held.append((w[rare], _folds_of(b, rare).astype(np.int8)))
+            size += len(held[-1][0])
+            if size >= RARE_HELD:
+                yield from counted(held)
+                held, size = [], 0
+        if held:
+            yield from counted(held)
+
+    return run
+
+
 def _answer_folds(counted: pa.Table, asked: pa.Table) -> pa.Table:
     """As ``_answer``, by the counts of the other folds."""
     if not asked.num_rows:
         return pa.table({"doc_id": pa.array([], pa.int64()), "s": pa.array([], pa.float64())})
-    key = column(counted, "w").to_numpy(zero_copy_only=False).view(np.uint64)
-    fold = column(counted, "fold").to_numpy(zero_copy_only=False).astype(np.int64)
-    n = column(counted, "n").to_numpy(zero_copy_only=False)
+    key, n = _joined(counted, "a", np.uint64), _joined(counted, "b", np.int64)
+    fold = np.repeat(column(counted, "fold").to_numpy(zero_copy_only=False),
+                     pc.binary_length(column(counted, "a")).to_numpy(zero_copy_only=False) // 8).astype(np.int64)
     order = np.lexsort((fold, key))
     key, fold, n = key[order], fold[order], n[order]
     start = np.flatnonzero(np.append(True, key[1:] != key[:-1])[:len(key)])
     total = np.add.reduceat(n, start) if len(n) else n
     place = np.repeat(np.arange(len(start)), np.diff(np.append(start, len(key)))) * FOLDS + fold
+    # tasks count apart: a word's fold may come in several rows
+    first = np.flatnonzero(np.append(True, np.diff(place) != 0)[:len(place)])
+    place, n = place[first], np.add.reduceat(n, first) if len(n) else n
     w, coef, runs = _joined(asked, "a", np.uint64), _joined(asked, "b", np.int8).astype(np.int64), _joined(asked, "runs", np.int32)
     c = np.zeros(len(w), np.int64)
     at, hit = _find(key[start], w)
@@ -461,31 +580,25 @@ def score_by_folds(docs: DataFrame, alpha: float = 0.4, part_grams: int = FOLD_P
     """As ``score_documents``, but no document is scored by its own words: the corpus is cut into ``FOLDS`` folds by the id, and
     a document's corpus is all folds but its own (repeated ids are in one fold). Pairs that the other folds
     do not have back off to their second word.
+
+    Four passes over the texts: likely words and pairs; their exact counts by fold, dense arrays added up by a tree; rare bigrams,
+    packed and coded, to their hash partitions; rare words to theirs, where they meet what is still asked.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "lm")
     ident = F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID))
     digit = F.conv(F.substring(F.md5(ident.cast("string").cast("binary")), 1, 1), 16, 10).cast("int")
     src = docs.select(ident.alias("doc_id"), digit.alias("fold"), word_hashes("text").alias("words"))
-    counted = scratch.table(src.mapInArrow(_words_and_likely_pairs, "kind int, fold int, key long, n long")
-                            .groupBy("kind", "fold", "key").agg(F.sum("n").alias("n")))
-    table = counted.where("kind = 0").select("fold", F.col("key").alias("w"), "n")
-    sizes = np.zeros(FOLDS, np.int64)
-    for r in table.groupBy("fold").agg(F.sum("n").alias("n")).collect():  # at most FOLDS rows
-        sizes[r.fold] = r.n
+    named = scratch.table(src.mapInArrow(_likely, "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n")))
+    known, hot = _most(named, 0, min(frequent, FREQUENT)), _most(named, 1, frequent)
+    own, pairs, sizes = _dense_counts(src, known, hot, scratch)
     total = int(sizes.sum())
-    rest = np.log(np.maximum(total - sizes, 1))
-    top = scratch.table(table.groupBy("w").agg(F.sum("n").alias("t")).orderBy(F.desc("t"), "w").limit(frequent))
-    t = table.join(F.broadcast(top), "w").select("w", "fold", "n").toArrow()
-    known, at = np.unique(t.column("w").to_numpy().view(np.uint64), return_inverse=True)
-    own = np.zeros((len(known), FOLDS), np.int64)
-    own[at, t.column("fold").to_numpy()] = t.column("n").to_numpy()
+    rest = np.log(np.maximum(total - sizes[0], 1))
     count = np.maximum(own.sum(axis=1, keepdims=True) - own, 1)
-    hot, pairs = _exact(src, counted.where("kind = 1").select(F.col("key").alias("g"), "n"), frequent, FOLDS)
     pairs = pairs.sum(axis=1, keepdims=True) - pairs
     parts = max(12, -(-total // part_grams))
     rare_parts = max(12, -(-(total - int(own.sum())) // part_grams))
     settle = _frequent_first(rare_parts, known, count)
-    rows = src.mapInArrow(_rows_by_fold(parts, rest, alpha, hot, pairs, settle), BY_FOLD)
-    asked = rows.groupBy("part").applyInArrow(_seen_in_folds(rest, alpha, settle), ASKED)
-    return _totals(scratch, asked, table.select(_part_of("w", rare_parts), "fold", "w", "n"), _answer_folds)
+    rows = src.mapInArrow(_rows_by_fold(parts, rest, alpha, known, hot, pairs, settle), BY_FOLD)
+    asked = rows.groupBy("part").applyInArrow(_seen_in_folds(rest, alpha, known, settle), ASKED)
+    return _totals(asked, src.mapInArrow(_rare_words(rare_parts, known), RARE), rare_parts, _answer_folds)
