@@ -497,29 +497,46 @@ def _seen_in_folds(rest: np.ndarray, alpha: float, known: np.ndarray, settle):
         fold = np.repeat(column(t, "fold").to_numpy(), pc.binary_length(column(t, "a")).to_numpy() // 4).astype(np.int8)
         both = np.append(known, np.uint64(0))[np.minimum(code, len(known))]
         both[code == FREQUENT] = _joined(t, "b", np.uint64)
+        docs = _joined(t, "docs", np.int64)
+        del code, t
         v, w = both[::2], both[1::2]
-        g = _bigrams(v, w)
-        order = np.argsort(g)
-        line = g[order]
-        new = np.append(True, line[1:] != line[:-1])[:len(g)]
-        total = np.diff(np.append(np.flatnonzero(new), len(g)))
-        many = np.flatnonzero(np.repeat(total > 1, total))  # a bigram that occurs once is in no other fold
-        group = (np.cumsum(new) - 1)[many]
-        key = group * FOLDS + fold[order[many]]
-        inner = np.argsort(key)
-        own = np.append(True, np.diff(key[inner]) != 0)[:len(key)]
-        mine = np.diff(np.append(np.flatnonzero(own), len(key)))
-        n = np.zeros(len(g), np.int64)
-        n[order[many[inner]]] = total[group[inner]] - np.repeat(mine, mine)
-        seen = n > 0
-        s = np.where(seen, np.log(np.maximum(n, 1)), math.log(alpha) - rest[fold])
-        coef = np.where(seen, -1, 1) * (1 + fold)
-        asked = _result(-1, _joined(t, "docs", np.int64), runs, np.where(seen, v, w), coef, _sums(runs, s))
-        return pa.concat_tables([done, *(pa.Table.from_batches([x]) for x in settle(asked.to_batches()))])
+        n = _other_folds(v, w, fold)
+        out, ends = [done], np.append(0, np.cumsum(runs))
+        for i, j in _row_slices(ends, WORDS_AT_ONCE):
+            x = slice(ends[i], ends[j])
+            seen = n[x] > 0
+            s = np.where(seen, np.log(np.maximum(n[x], 1)), math.log(alpha) - rest[fold[x]])
+            coef = np.where(seen, -1, 1).astype(np.int8) * (1 + fold[x])
+            asked = _result(-1, docs[i:j], runs[i:j], np.where(seen, v[x], w[x]), coef, _sums(runs[i:j], s))
+            out += [pa.Table.from_batches([y]) for y in settle(asked.to_batches())]
+        return pa.concat_tables(out)
 
     return run
 
 
+def _other_folds(v: np.ndarray, w: np.ndarray, fold: np.ndarray) -> np.ndarray:
+    """How often each bigram occurs in the folds that are not its own; arrays are freed as early as can be."""
+    g = np.empty(len(v), np.uint64)
+    for i in range(0, len(g), WORDS_AT_ONCE):
+        x = slice(i, i + WORDS_AT_ONCE)
+        g[x] = _bigrams(v[x], w[x])
+    order = np.argsort(g)
+    g = g[order]
+    new = np.append(True, g[1:] != g[:-1])[:len(g)]
+    total = np.diff(np.append(np.flatnonzero(new), len(g))).astype(np.int32)
+    del g
+    many = np.repeat(total > 1, total)  # a bigram that occurs once is in no other fold
+    group, order = (np.cumsum(new, dtype=np.int32) - 1)[many], order[many]
+    key = group.astype(np.int64) * FOLDS + fold[order]
+    inner = np.argsort(key)
+    key, group, order = key[inner], group[inner], order[inner]
+    own = np.append(True, key[1:] != key[:-1])[:len(key)]
+    mine = np.diff(np.append(np.flatnonzero(own), len(key))).astype(np.int32)
+    n = np.zeros(len(v), np.int32)
+    n[order] = total[group] - np.repeat(mine, mine)
+    return n
+
+
 RARE = "part int, docs binary, runs binary, a binary, b binary, fold int"
 
 
