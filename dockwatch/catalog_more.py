@@ -108,27 +108,55 @@ def q_capacity_context(spark, d):
 # ---------------------------------------------------------------- dataset I/O
 
 
-@register("dataset_summary", O.with_dataset(S, """
+_SUMMARY_SQL = """
 SELECT COUNT(*) AS row_count,
   COUNT(*) FILTER (WHERE target_empty_next_hour = 1) AS positive_count,
   COUNT(DISTINCT station_id) AS station_count,
   MIN(obs_ts) AS obs_ts_min, MAX(obs_ts) AS obs_ts_max,
   CASE WHEN COUNT(*) > 0 THEN (COUNT(*) FILTER (WHERE target_empty_next_hour = 1))::DOUBLE / COUNT(*) ELSE 0.0 END AS positive_rate
-FROM dataset"""))
+FROM dataset"""
+
+
+@register("dataset_summary", O.with_dataset(S, _SUMMARY_SQL))
 def q_dataset_summary(spark, d):
     return V.dataset_summary(D.build_dataset(readings_for(spark, d), S))
 
 
-@register("dataset_roundtrip", O.with_dataset(S, "SELECT * FROM dataset"))
-def q_dataset_roundtrip(spark, d):
-    """Write the dataset as snappy Parquet to the shared checkpoint area and read
-    it back (the sink and source of the build job)."""
-    from dockwatch.sources.artifacts import load_dataset, write_dataset
+def _written(spark, d):
+    """The dataset written to the shared checkpoint area (the sink of the build job); its path."""
     from dockwatch.session import ensure_checkpoint_dir
+    from dockwatch.sources.artifacts import write_dataset
 
     base = ensure_checkpoint_dir(spark).rstrip("/") + "/dockwatch-roundtrip"
-    out = write_dataset(D.build_dataset(readings_for(spark, d), S), base, spark=spark)
-    return load_dataset(spark, out)
+    return write_dataset(D.build_dataset(readings_for(spark, d), S), base, spark=spark)
+
+
+@register("dataset_roundtrip", O.with_dataset(S, "SELECT * FROM dataset"))
+def q_dataset_roundtrip(spark, d):
+    from dockwatch.sources.artifacts import load_dataset
+
+    return load_dataset(spark, _written(spark, d))
+
+
+@register("written_summary", O.with_dataset(S, _SUMMARY_SQL))
+def q_written_summary(spark, d):
+    """The summary that the sink left in the footers."""
+    from dockwatch.sources.artifacts import written_summary
+
+    return written_summary(spark, _written(spark, d))
+
+
+# a morning of one station: one day's partition, and a true part of it
+ONE_STATION, ONE_START, ONE_END = "1", datetime(2024, 1, 1, 6), datetime(2024, 1, 1, 12)
+
+
+@register("inspect_station_day", O.with_dataset(S, f"""
+SELECT * FROM dataset WHERE station_id = '{ONE_STATION}' AND obs_ts BETWEEN TIMESTAMP '{ONE_START}' AND TIMESTAMP '{ONE_END}'"""))
+def q_inspect_station_day(spark, d):
+    from dockwatch.sources.artifacts import load_dataset
+
+    days = load_dataset(spark, _written(spark, d), ONE_START, ONE_END)
+    return G.inspect_dataset(days, ONE_STATION, ONE_START, ONE_END)
 
 
 # ---------------------------------------------------------------- validation

@@ -83,6 +83,7 @@ def main(argv=None) -> int:
     ins.add_argument("--station", required=True)
     ins.add_argument("--start", required=True)
     ins.add_argument("--end", required=True)
+    ins.add_argument("--dataset", help="a written dataset, read by day instead of built")
     tr = sub.add_parser("train")
     tr.add_argument("--dataset", required=True)
     tr.add_argument("--out", required=True)
@@ -137,7 +138,8 @@ def main(argv=None) -> int:
         return 0
     if args.cmd == "validate":
         from dockwatch.reports.validation import validate_dataset
-        ok, rep = validate_dataset(spark.read.parquet(args.dataset))
+        from dockwatch.sources.artifacts import load_dataset
+        ok, rep = validate_dataset(load_dataset(spark, args.dataset))
         print(json.dumps(rep, default=str, indent=2))
         print("PASS" if ok else "FAIL")
         return 0 if ok else 1
@@ -155,13 +157,14 @@ def main(argv=None) -> int:
     if args.cmd == "inspect":
         from dockwatch.plans.dataset import build_dataset
         from dockwatch.reports import diagnose as G
+        from dockwatch.sources.artifacts import load_dataset
         r = _readings(spark, args)
         if G.station_reading_count(r, args.station) == 0:
             print(f"Station '{args.station}' not found.")
             return 0
-        rows = G.inspect_dataset(build_dataset(r, s), args.station,
-                                 datetime.fromisoformat(args.start),
-                                 datetime.fromisoformat(args.end)).cache()
+        start, end = datetime.fromisoformat(args.start), datetime.fromisoformat(args.end)
+        ds = load_dataset(spark, args.dataset, start, end) if args.dataset else build_dataset(r, s)
+        rows = G.inspect_dataset(ds, args.station, start, end).cache()
         if rows.count() == 0:
             from pyspark.sql import functions as F
             _show(G.station_capacity(r.filter(F.col("station_id") == args.station)))
@@ -174,18 +177,20 @@ def main(argv=None) -> int:
         return 0
     if args.cmd == "train":
         from dockwatch.ml.training import train_run
-        rec = train_run(spark, spark.read.parquet(args.dataset), args.out, args.max_iter,
+        from dockwatch.sources.artifacts import load_dataset
+        rec = train_run(spark, load_dataset(spark, args.dataset), args.out, args.max_iter,
                         input_path=args.dataset)
         print(json.dumps({k: v for k, v in rec.items() if not k.startswith("_")}, default=str,
                          indent=2))
         return 0
     if args.cmd == "evaluate":
         from dockwatch.ml.training import evaluate_saved
+        from dockwatch.sources.artifacts import load_dataset
         run = _newest(spark, args)
         paths = [getattr(args, n) or run.get(n) for n in ("dataset", "model", "metrics")]
         if not all(paths[:2]):
             p.error("evaluate needs --dataset and --model, or --runs")
-        _show(evaluate_saved(spark, spark.read.parquet(paths[0]), *paths[1:]))
+        _show(evaluate_saved(spark, load_dataset(spark, paths[0]), *paths[1:]))
         return 0
     if args.cmd == "index":
         from dockwatch.plans.lookback import station_days
