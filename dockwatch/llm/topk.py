@@ -28,11 +28,19 @@ def _int_matrix(t: pa.Table, name: str, dim: int) -> np.ndarray:
 
 
 def _products(q: np.ndarray, c: np.ndarray) -> np.ndarray:
-    """Exact integer products: by doubles where every partial sum stays below 2^53, else by integers."""
-    top = float(np.abs(q).max(initial=0)) * float(np.abs(c).max(initial=0)) * q.shape[1]
+    """Exact integer products: by doubles where every partial sum stays below 2^53, by integers where it stays below 2^63, else by
+    integers of any size. A score that is no long is an error, never a wrapped number."""
+    # as doubles first: the absolute value of the smallest long is no long
+    top = float(np.abs(q.astype(np.float64)).max(initial=0)) * float(np.abs(c.astype(np.float64)).max(initial=0)) * q.shape[1]
     if top < EXACT:
         return (q.astype(np.float64) @ c.T.astype(np.float64)).astype(np.int64)
-    return q @ c.T
+    if top < 2.0 ** 62:
+        return q @ c.T
+    wide = q.astype(object) @ c.T.astype(object)
+    limit = np.iinfo(np.int64)
+    if wide.size and (wide.min() < limit.min or wide.max() > limit.max):
+        raise OverflowError("an inner product is beyond 64 bits")
+    return wide.astype(np.int64)
 
 
 def _tile(k: int, step: int):
@@ -74,7 +82,8 @@ def exact_top_k(rows: DataFrame, is_query: Column, k: int = 20, scale: int = 64,
 
     Vectors that are null, empty or hold null or non-finite components, and rows of a null
     vec_id, take no part. Rows repeating a vec_id count once (the smallest vector). Vectors of other lengths
-    than the query's are not compared with it. Fewer candidates than k: all of them. No queries: no rows.
+    than the query's are not compared with it. Fewer candidates than k: all of them. No queries: no rows. A score beyond 64 bits
+    fails the job.
     """
     scratch = Scratch(rows.sparkSession, "topk")
     good = rows.where(finite_vector("embedding") & F.col("vec_id").isNotNull())
