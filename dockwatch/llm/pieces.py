@@ -13,7 +13,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dockwatch.llm.shared import Scratch, column
+from dockwatch.llm.shared import Scratch, column, numbers
 
 SPACE = "▁"
 #: Most pieces a model may have: the piece table is broadcast.
@@ -22,10 +22,18 @@ MOST_PIECES = 1 << 20
 LONG = 48
 #: Bytes of units whose documents share a dictionary.
 BLOCK_BYTES = 48 << 20
+#: Texts handed to a task's Python worker at a time.
+BATCH_ROWS = 500
+#: Bytes of units coded at a time.
+PART_BYTES = 8 << 20
 #: Units (counted once per block) of a partition of the lattice.
 PART_UNITS = 200_000
+#: Edges merged at a time.
+EDGES = 50_000
+#: Units of documents put together at a time.
+SLICE = 50_000
 #: Bytes of ids decoded at a time.
-ID_BYTES = 4 << 20
+ID_BYTES = 1 << 20
 NO_ID = -(1 << 63)
 
 
@@ -75,20 +83,25 @@ def units(text: str, model: Model) -> Column:
         F.regexp_extract_all(marked, F.lit(model.unit_pattern()), F.lit(0)))
 
 
-def lattice(words: DataFrame, pieces: DataFrame, longest: int) -> DataFrame:
-    """(h, unit, n, edges): the substrings of each unit that are pieces, as (start, stop, id, score). Every substring
-    of at most ``longest`` characters is exploded and meets the piece table by an equi-join. ``words`` holds distinct
-    units, dealt by unit, and their hash ``h``, which is quick to sort by: the edges are grouped without another shuffle."""
+def edges(words: DataFrame, pieces: DataFrame, longest: int, *key: str) -> DataFrame:
+    """(key, unit, start, stop, id, score): the substrings of each unit that are pieces. Every substring of at most ``longest``
+    characters is exploded and meets the piece table by an equi-join."""
     # the empty cut (no characters) at the first place keeps a unit without any piece
-    ends = words.select("h", "unit", F.explode(F.sequence(F.lit(0), F.length("unit") - 1)).alias("start"))
+    ends = words.select(*key, "unit", F.explode(F.sequence(F.lit(0), F.length("unit") - 1)).alias("start"))
     tails = ends.withColumn("tail", F.substring(F.col("unit"), F.col("start") + 1, F.lit(longest)))
-    each = tails.select("h", "unit", "start", "tail", F.explode(F.sequence(
+    each = tails.select(*key, "unit", "start", "tail", F.explode(F.sequence(
         F.when(F.col("start") == 0, 0).otherwise(1), F.length("tail"))).alias("k")).select(
-        "h", "unit", "start", (F.col("start") + F.col("k")).alias("stop"), F.expr("left(tail, k)").alias("piece"))
-    met = each.join(F.broadcast(pieces), "piece", "left").where("id is not null or stop = 0")
+        *key, "unit", "start", (F.col("start") + F.col("k")).alias("stop"), F.expr("left(tail, k)").alias("piece"))
+    return each.join(F.broadcast(pieces), "piece", "left").where("id is not null or stop = 0").select(
+        *key, "unit", "start", "stop", "id", "score")
+
+
+def lattice(words: DataFrame, pieces: DataFrame, longest: int) -> DataFrame:
+    """(bucket, h, unit, n, edges): the edges of each unit in one row. ``words`` holds distinct units and their hash ``h``,
+    which is quick to sort by."""
     edge = F.struct("start", "stop", "id", "score")
-    return met.groupBy("h", "unit").agg(F.collect_list(F.when(F.col("stop") > 0, edge)).alias("edges")
-                                        ).withColumn("n", F.length("unit"))
+    return edges(words, pieces, longest, "bucket", "h").groupBy("bucket", "h", "unit").agg(
+        F.collect_list(F.when(F.col("stop") > 0, edge)).alias("edges")).withColumn("n", F.length("unit"))
 
 
 def _bind(value: Column, use) -> Column:
@@ -96,26 +109,33 @@ def _bind(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def merged_bounds(edges: str, n: str) -> Column:
-    """Boundaries after merging, again and again, the adjacent pair of the best score (leftmost of equals).
-    The fold keeps where the segment that begins at each place ends (0: none begins there), until no pair is left."""
-    ranked = F.array_sort(F.transform(F.filter(edges, lambda e: e["stop"] - e["start"] > 1), lambda e: F.struct(
-        (-e["score"]).alias("cost"), e["start"].alias("start"), e["stop"].alias("stop"))))
-    state = lambda ends, more: F.struct(ends.alias("ends"), more.alias("more"))
-
-    def merge(ends, ranked):
+def merged_ends(of: np.ndarray, start: np.ndarray, stop: np.ndarray, score: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Merge in every unit, again and again, the adjacent pair of the best score (leftmost of equals), one pair of each unit a
+    round. ``of`` is an edge's unit, ``n`` the units' lengths. Returns the units' first places and, for each place, where the
+    segment that begins there ends (0: none begins there)."""
+    first = np.append(0, np.cumsum(n + 1))
+    end = np.arange(1, first[-1] + 1)
+    end[first[1:] - 1] = 0
+    begin, to = first[of] + start, first[of] + stop
+    pairs = np.flatnonzero(to - begin > 1)
+    pairs = pairs[np.lexsort((start[pairs], -score[pairs], of[pairs]))]
+    of, begin, to = of[pairs], begin[pairs], to[pairs]
+    while len(of):
         # a pair: two segments that together make the piece
-        pairs = F.filter(ranked, lambda e: F.get(ends, e["start"]).between(1, e["stop"] - 1)
-                         & (F.get(ends, F.get(ends, e["start"])) == e["stop"]))
-        return _bind(F.get(pairs, F.lit(0)), lambda e: F.when(e.isNull(), state(ends, F.lit(False))).otherwise(state(
-            F.transform(ends, lambda x, i: F.when(i == e["start"], e["stop"]).when(
-                i == F.get(ends, e["start"]), F.lit(0)).otherwise(x)), F.lit(True))))
-
-    first = state(F.transform(F.sequence(F.lit(1), F.col(n) + 1), lambda i: F.when(i > F.col(n), F.lit(0)).otherwise(i)), F.lit(True))
-    ends = _bind(ranked, lambda r: F.aggregate(
-        F.sequence(F.lit(1), F.col(n)), first, lambda s, _: F.when(s["more"], merge(s["ends"], r)).otherwise(s)))
-    return _bind(ends["ends"], lambda x: F.concat(
-        F.filter(F.sequence(F.lit(0), F.col(n) - 1), lambda i: F.get(x, i) > 0), F.array(F.col(n))))
+        mid = end[begin]
+        open_ = (mid > 0) & (mid < to)
+        pair = np.flatnonzero(open_ & (end[mid] == to))
+        if not len(pair):
+            break
+        unit = of[pair]
+        best = pair[np.append(True, unit[1:] != unit[:-1])]
+        end[mid[best]] = 0
+        end[begin[best]] = to[best]
+        going = np.zeros(len(n), bool)
+        going[unit] = True
+        keep = open_ & going[of]
+        of, begin, to = of[keep], begin[keep], to[keep]
+    return first, end
 
 
 def viterbi_bounds(edges: str, n: str, unknown_score: float) -> Column:
@@ -217,61 +237,243 @@ def _encode_long(model: Model):
         table = {p: (i, s) for p, i, s in model.pieces}
         for b in batches:
             ids = [encode_unit(x, model, table) for x in b.column("unit").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("block"), b.column("pos"), pa.array(ids, pa.list_(pa.int32()))],
-                                             names=["of", "pos", "ids"])
+            yield pa.RecordBatch.from_arrays([b.column("bucket"), b.column("unit"), pa.array(ids, pa.list_(pa.int32()))],
+                                             names=["bucket", "unit", "ids"])
+
+    return run
+
+
+def _merge(byte_ids: dict[int, int], unknown: int):
+    """Ids of the units whose edges come in order of ``at``, ``EDGES`` edges or more at a time. A unit's first edge is empty
+    and carries its text."""
+    apart = "the edges of a unit are not in one place"
+
+    def run(batches):
+        held, size = [], 0
+        for b in batches:
+            if not b.num_rows:
+                continue
+            held.append(b)
+            size += b.num_rows
+            if size >= EDGES:
+                t = pa.Table.from_batches(held)
+                # the last unit may go on in the next batch
+                last = int(np.searchsorted(numbers(t, "at"), numbers(b, "at")[-1]))
+                if last:
+                    yield merged(t.slice(0, last))
+                held, size = t.slice(last).to_batches(), t.num_rows - last
+        if held:
+            yield merged(pa.Table.from_batches(held))
+        del held
+        pa.default_memory_pool().release_unused()  # the worker waits for the next stage
+
+    def merged(t: pa.Table) -> pa.RecordBatch:
+        stop = numbers(t, "stop")
+        head = np.flatnonzero(stop == 0)
+        unit = column(t, "unit").take(pa.array(head))
+        n = pc.utf8_length(unit).to_numpy().astype(np.int64)
+        at = numbers(t, "at")
+        if (np.diff(at) < 0).any() or len(np.unique(at)) != len(head) or (at[head] != np.unique(at)).any():
+            raise ValueError(apart)
+        of = np.searchsorted(at[head], at)
+        real = np.flatnonzero(stop)
+        of, start, stop = of[real], numbers(t, "start")[real].astype(np.int64), stop[real].astype(np.int64)
+        piece = column(t, "id").take(pa.array(real)).to_numpy()
+        first, end = merged_ends(of, start, stop, column(t, "score").take(pa.array(real)).to_numpy(), n)
+        # the edges that are segments
+        hit = end[first[of] + start] == first[of] + stop
+        known = np.full(len(end), -1, np.int32)
+        known[(first[of] + start)[hit]] = piece[hit]
+        at = np.flatnonzero(end)
+        ids, count = known[at], np.ones(len(at), np.int64)
+        spelled = {}
+        for i in np.flatnonzero(ids < 0).tolist():  # a character that is no piece
+            u = int(np.searchsorted(first, at[i], "right")) - 1
+            char = unit[u].as_py()[at[i] - first[u]:end[at[i]] - first[u]]
+            spelled[i] = [byte_ids[x] for x in char.encode()] if len(byte_ids) == 256 else [unknown]
+            count[i] = len(spelled[i])
+        begin = np.append(0, np.cumsum(count))
+        flat = np.repeat(ids, count)
+        for i, own in spelled.items():
+            flat[begin[i]:begin[i + 1]] = own
+        lists = pa.ListArray.from_arrays(pa.array(begin[np.searchsorted(at, first)], pa.int32()), pa.array(flat, pa.int32()))
+        return pa.RecordBatch.from_arrays([column(t, "bucket").take(pa.array(head)), unit, lists], names=["bucket", "unit", "ids"])
 
     return run
 
 
-def encode_units(words: DataFrame, model: Model) -> DataFrame:
-    """(unit, ids) of distinct units of at most ``LONG`` characters (column unit)."""
-    short = lattice(words.withColumn("h", F.xxhash64("unit")), model.frame(words.sparkSession), model.longest)
+def encode_units(words: DataFrame, model: Model, packed: bool = False) -> DataFrame:
+    """(bucket, unit, ids) of distinct units of at most ``LONG`` characters (columns unit and bucket, 0 if missing); with
+    ``packed`` many of a bucket in a row (``CODED``), by the task that made them."""
+    table = model.frame(words.sparkSession)
+    if "bucket" not in words.columns:
+        words = words.withColumn("bucket", F.lit(0))
+    if model.kind == "bpe":
+        rows = edges(words.withColumn("at", F.monotonically_increasing_id()), table, model.longest, "bucket", "at")
+        # exploding and the broadcast join keep a unit's edges together; the merges fail if they don't
+        rows = rows.withColumn("unit", F.when(F.col("stop") == 0, F.col("unit")))
+        run = _merge(model.byte_ids, model.unknown)
+        return rows.mapInArrow(_packed(run), CODED) if packed else rows.mapInArrow(run, UNIT_IDS)
     low = min((s for _, _, s in model.pieces), default=0.0) - 10.0
-    bounds = merged_bounds("edges", "n") if model.kind == "bpe" else viterbi_bounds("edges", "n", low)
-    return short.withColumn("bounds", bounds).select("unit", _ids(model).cast("array<int>").alias("ids"))
+    short = lattice(words.withColumn("h", F.xxhash64("unit")), table, model.longest)
+    ids = short.withColumn("bounds", viterbi_bounds("edges", "n", low)).select(
+        "bucket", "unit", _ids(model).cast("array<int>").alias("ids"))
+    return ids.mapInArrow(_packed(iter), CODED) if packed else ids
+
+
+def _zip(x: np.ndarray) -> bytes:
+    """Numbers below 2^32, compressed byte plane by byte plane."""
+    return pa.compress(np.ascontiguousarray(x.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes(), "zstd", asbytes=True)
+
+
+def _unzip(blob: bytes, n: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(blob, 4 * n, "zstd"), np.uint8).reshape(4, n)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel()
+
+
+def _zip_strings(x: pa.StringArray) -> tuple[bytes, bytes, int]:
+    """Lengths and text, compressed, and how many bytes the text has."""
+    off = np.frombuffer(x.buffers()[1], np.int32)[x.offset:x.offset + len(x) + 1] if len(x) else np.zeros(1, np.int32)
+    text = x.buffers()[2].slice(int(off[0]), int(off[-1] - off[0])) if off[-1] > off[0] else pa.py_buffer(b"")
+    return _zip(np.diff(off)), pa.compress(text, "zstd", asbytes=True), text.size
 
 
-BLOCK = "block long, docs binary, sizes binary, planes array<binary>, units array<string>"
+def _unzip_strings(row: dict) -> pa.StringArray:
+    off = np.append(0, np.cumsum(_unzip(row["lens"], row["n"]), dtype=np.int64)).astype(np.int32)
+    return pa.StringArray.from_buffers(row["n"], pa.py_buffer(off), pa.decompress(row["text"], row["text_bytes"], "zstd"))
+
+
+def _zip_ids(ids: pa.ListArray) -> tuple[bytes, int, bytes]:
+    """How many ids each list has, how many there are, and all ids, compressed."""
+    flat = ids.flatten()
+    return _zip(pc.list_value_length(ids).to_numpy()), len(flat), _zip(flat.to_numpy())
+
+
+UNIT_IDS = "bucket int, unit string, ids array<int>"
+BLOCK = "block long, docs binary, sizes binary, codes binary, n long, lens binary, text binary, text_bytes long"
+ASKED = "bucket int, block long, n long, pos binary, lens binary, text binary, text_bytes long"
+CODED = "bucket int, n long, lens binary, text binary, text_bytes long, counts binary, total long, ids binary"
+ANSWERED = "of long, n long, pos binary, counts binary, total long, ids binary"
+
+
+def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
+    fields = [f.split() for f in schema.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(list(c), kinds[k]) for c, (_, k) in zip(zip(*rows), fields)],
+                                      names=[n for n, _ in fields])
 
 
 def _blocks(block_bytes: int):
     """Documents of a task in blocks of about ``block_bytes``: their ids, how many units each has, the place of each unit
-    in the block's own dictionary (most frequent first; one compressed plane per byte), and the dictionary."""
+    in the block's own dictionary (most frequent first), and the dictionary."""
 
-    def pack(held: list[pa.RecordBatch], block: int) -> pa.RecordBatch:
-        t = pa.Table.from_batches(held)
-        arr = column(t, "units")
-        off = arr.offsets.to_numpy()
-        coded = arr.values.slice(off[0], off[-1] - off[0]).dictionary_encode()
+    def pack(held: list[tuple[np.ndarray, np.ndarray, pa.DictionaryArray]], block: int) -> pa.RecordBatch:
+        docs, sizes, coded = zip(*held)
+        coded = pa.chunked_array(coded).unify_dictionaries().combine_chunks()
         at, words = coded.indices.to_numpy(), coded.dictionary
         order = np.argsort(-np.bincount(at, minlength=len(words)), kind="stable")
         rank = np.empty(len(words), np.uint32)
         rank[order] = np.arange(len(words), dtype=np.uint32)
-        codes = rank[at].view(np.uint8).reshape(-1, 4)
-        squeezed = [pa.compress(np.ascontiguousarray(codes[:, i]).tobytes(), "zstd", asbytes=True) for i in range(4)]
-        doc = column(t, "doc_id").to_numpy(zero_copy_only=False)
         units_of = words.take(pa.array(order)).cast(pa.string())
-        return pa.RecordBatch.from_arrays([
-            pa.array([block], pa.int64()), pa.array([doc.astype(np.int64).tobytes()], pa.binary()),
-            pa.array([np.diff(off).astype(np.int64).tobytes()], pa.binary()), pa.array([squeezed], pa.list_(pa.binary())),
-            pa.ListArray.from_arrays(pa.array([0, len(units_of)], pa.int32()), units_of)],
-            names=["block", "docs", "sizes", "planes", "units"])
+        return _batch([(block, np.concatenate(docs).tobytes(), np.concatenate(sizes).tobytes(), _zip(rank[at]),
+                        len(units_of), *_zip_strings(units_of))], BLOCK)
+
+    def code(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, pa.DictionaryArray]:
+        # the texts are held as codes, so that a block never has them twice
+        arr = column(part, "units")
+        off = arr.offsets.to_numpy()
+        return (numbers(part, "doc_id").astype(np.int64), np.diff(off).astype(np.int64),
+                arr.values.slice(off[0], off[-1] - off[0]).dictionary_encode())
 
     def run(batches):
         held, size, block = [], 0, TaskContext.get().partitionId() << 32
         for b in batches:
-            for part in list_slices(b, "units", block_bytes):
-                held.append(part)
+            for part in list_slices(b, "units", min(block_bytes, PART_BYTES)):
+                held.append(code(part))
                 size += part.nbytes
                 if size >= block_bytes:
                     yield pack(held, block)
                     held, size, block = [], 0, block + 1
+                    pa.default_memory_pool().release_unused()
         if held:
             yield pack(held, block)
 
     return run
 
 
+def _deal(buckets: int):
+    """A block's dictionary in parts, dealt by the hash of the unit: places (as differences) and units, compressed."""
+
+    def run(batches):
+        from pandas.util import hash_array
+
+        for b in batches:
+            for row in b.to_pylist():
+                words = _unzip_strings(row)
+                bucket = hash_array(words.to_numpy(zero_copy_only=False), categorize=False) % np.uint64(buckets)
+                order = np.argsort(bucket, kind="stable")
+                words = words.take(pa.array(order))
+                cuts = np.append(np.flatnonzero(np.diff(bucket[order], prepend=np.uint64(buckets))), len(order)).tolist()
+                rows = [(int(bucket[order[i]]), row["block"], j - i, _zip(np.diff(order[i:j], prepend=0)), *_zip_strings(words.slice(i, j - i)))
+                        for i, j in zip(cuts, cuts[1:])]
+                if rows:
+                    yield _batch(rows, ASKED)
+
+    return run
+
+
+def _distinct(long: bool):
+    """The units of one bucket, once each: those of more than ``LONG`` characters, or the others."""
+
+    def run(asked: pa.Table) -> pa.Table:
+        words = pa.chunked_array([_unzip_strings(r) for r in asked.to_pylist()], pa.string()).unique()
+        words = words.filter(pc.equal(pc.greater(pc.utf8_length(words), LONG), long))
+        return pa.table({"bucket": pa.array(np.full(len(words), asked.column("bucket")[0].as_py(), np.int32)), "unit": words})
+
+    return run
+
+
+def _packed(run):
+    """What ``run`` yields, the units and ids of a bucket in one row, compressed."""
+
+    def pack(batches):
+        for b in run(batches):
+            bucket = numbers(b, "bucket")
+            rows = []
+            for k in np.unique(bucket).tolist():
+                part = b.filter(pa.array(bucket == k))
+                rows.append((k, part.num_rows, *_zip_strings(part.column("unit")), *_zip_ids(part.column("ids"))))
+            if rows:
+                yield _batch(rows, CODED)
+
+    return pack
+
+
+def _unzip_ids(row: dict) -> tuple[np.ndarray, np.ndarray]:
+    return _unzip(row["counts"], row["n"]).astype(np.int64), _unzip(row["ids"], row["total"]).astype(np.int32)
+
+
+def _answer(asked: pa.Table, coded: pa.Table) -> pa.Table:
+    """The ids of one bucket's units for each block that asked."""
+    got = coded.to_pylist()
+    words = pa.chunked_array([_unzip_strings(r) for r in got], pa.string()).combine_chunks()
+    both = [_unzip_ids(r) for r in got]
+    count, flat = (np.concatenate([x[i] for x in both]) if both else np.zeros(0, np.int64) for i in (0, 1))
+    begin = np.append(0, np.cumsum(count))
+    rows = []
+    for r in asked.to_pylist():
+        at = pc.index_in(_unzip_strings(r), value_set=words).to_numpy()
+        ids = flat[_ranges(begin[at], count[at])]
+        rows.append((r["block"], r["n"], r["pos"], _zip(count[at]), len(ids), _zip(ids)))
+    return pa.Table.from_batches([_batch(rows, ANSWERED)])
+
+
+def _ranges(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """All places of the ranges, one after the other."""
+    ends = np.cumsum(size)
+    return np.repeat(begin - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)
+
+
 def list_slices(batch: pa.RecordBatch, name: str, limit: int):
     """Cut a batch so that a slice's lists of strings have about ``limit`` bytes (one row at least)."""
     if batch.nbytes <= limit:
@@ -287,49 +489,71 @@ def list_slices(batch: pa.RecordBatch, name: str, limit: int):
 def _apply(docs: pa.Table, words: pa.Table) -> pa.Table:
     """Ids of one block's documents from the block's own dictionary."""
     out = []
-    where = column(words, "pos").to_numpy()
-    ids = column(words, "ids")
-    first, val = ids.offsets.to_numpy(), ids.values.to_numpy(zero_copy_only=False)
-    begin, length = np.zeros(len(where), np.int64), np.zeros(len(where), np.int64)
-    begin[where], length[where] = first[:-1], np.diff(first)
     for row in docs.to_pylist():
-        sizes = np.frombuffer(row["sizes"], np.int64)
-        total = int(sizes.sum())
-        at = np.zeros(total, np.uint32)
-        for i, p in enumerate(row["planes"]):
-            at |= np.frombuffer(pa.decompress(p, total, "zstd", asbytes=True), np.uint8).astype(np.uint32) << np.uint32(8 * i)
-        n = length[at]
-        ends = np.append(0, np.cumsum(n))
-        flat = val[np.repeat(begin[at] - ends[:-1], n) + np.arange(ends[-1])] if total else val[:0].astype(np.int32)
-        lists = pa.LargeListArray.from_arrays(pa.array(ends[np.append(0, np.cumsum(sizes))], pa.int64()), pa.array(flat, pa.int32()))
+        length, begin, flat, done = np.zeros(row["n"], np.int64), np.zeros(row["n"], np.int64), [], 0
+        for w in words.to_pylist():
+            count, ids = _unzip_ids(w)
+            at = np.cumsum(_unzip(w["pos"], w["n"]), dtype=np.int64)
+            length[at], begin[at] = count, done + np.cumsum(count) - count
+            flat.append(ids)
+            done += len(ids)
+        val = np.concatenate(flat) if flat else np.zeros(0, np.int32)
         doc = np.frombuffer(row["docs"], np.int64)
-        out.append(pa.table({"doc_id": pa.array(doc, mask=doc == NO_ID), "ids": lists.cast(pa.list_(pa.int32()))}))
+        units_to = np.append(0, np.cumsum(np.frombuffer(row["sizes"], np.int64)))
+        codes = _unzip(row["codes"], int(units_to[-1]))
+        a = 0
+        while a < len(doc):  # about ``SLICE`` units at a time, one document at least
+            b = max(a + 1, int(np.searchsorted(units_to, units_to[a] + SLICE, "right")) - 1)
+            at = codes[units_to[a]:units_to[b]]
+            n = length[at]
+            ids = val[_ranges(begin[at], n)]
+            ends = np.append(0, np.cumsum(n))[units_to[a:b + 1] - units_to[a]]
+            lists = pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()), pa.array(ids, pa.int32()))
+            out.append(pa.table({"doc_id": pa.array(doc[a:b], mask=doc[a:b] == NO_ID), "ids": lists.cast(pa.list_(pa.int32()))}))
+            a = b
     return pa.concat_tables(out) if out else pa.table({"doc_id": pa.array([], pa.int64()), "ids": pa.array([], pa.list_(pa.int32()))})
 
 
+def _written(blocks: DataFrame) -> DataFrame:
+    """The blocks, written dealt by block: the join with their answers does not shuffle the documents' places again."""
+    spark = blocks.sparkSession
+    scratch = Scratch(spark, "pieces")
+    name = "pieces_" + scratch.root.rsplit("-", 1)[1]
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(rows)
+    spark.conf.set(rows, str(BATCH_ROWS))  # a row is a whole text
+    try:
+        blocks.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "block").option(
+            "path", f"{scratch.root}/blocks").saveAsTable(name)
+    finally:
+        spark.conf.set(rows, before)
+    out = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # the name only: the files are not the catalog's
+    return out
+
+
 def encode(docs: DataFrame, model: Model, block_bytes: int = BLOCK_BYTES, decoded: bool = False) -> DataFrame:
     """(doc_id, ids) of every whole text; with ``decoded`` also n_ids, and text_sha256 (of UTF-8) and text_length (in
     characters) of the text decoded from the ids, by the task that put them together.
 
     Texts are cut into units and written once, in blocks of about ``block_bytes``: places in the block's dictionary,
-    compressed. The distinct units of all blocks are encoded once by the lattice, and their ids go back to the blocks: a unit
-    travels once for each block that holds it, whatever its frequency, and a block meets only its own dictionary.
+    compressed. The dictionaries are dealt once by the units' hash, compressed too; the distinct units of a bucket are encoded
+    once by the lattice, and their ids go back to the blocks: a unit travels once for each block that holds it, whatever its
+    frequency, and a block meets only its own dictionary.
 
     Null and empty texts have no ids. Rows are encoded one by one, repeated ones and null doc_ids too. Other columns are ignored. Special
     pieces are never made of text. A text's own U+2581 counts as a space.
     """
     spark = docs.sparkSession
     cut = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), units("text", model).alias("units"))
-    blocks = Scratch(spark, "pieces").table(cut.mapInArrow(_blocks(block_bytes), BLOCK))
-    many = blocks.agg(F.sum(F.size("units"))).first()[0] or 0
+    blocks = _written(cut.mapInArrow(_blocks(block_bytes), BLOCK))
+    many = blocks.agg(F.sum("n")).first()[0] or 0
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-many // PART_UNITS))
-    asked = blocks.select("block", F.posexplode("units").alias("pos", "unit"))
-    short, long = asked.where(F.length("unit") <= LONG), asked.where(F.length("unit") > LONG)
-    # both sides dealt by unit: neither grouping the edges nor the join shuffles again
-    words = encode_units(short.select("unit").repartition(parts, "unit").distinct(), model)
-    known = short.repartition(parts, "unit").join(words, "unit").select(F.col("block").alias("of"), "pos", "ids").union(
-        long.mapInArrow(_encode_long(model), "of long, pos int, ids array<int>"))
-    both = blocks.drop("units").groupBy("block").cogroup(known.groupBy("of"))
+    dealt = blocks.select("block", "n", "lens", "text", "text_bytes").mapInArrow(_deal(parts), ASKED).repartition(parts, "bucket")
+    short, long = (dealt.groupBy("bucket").applyInArrow(_distinct(x), "bucket int, unit string") for x in (False, True))
+    coded = encode_units(short, model, packed=True).union(long.mapInArrow(_packed(_encode_long(model)), CODED))
+    known = dealt.groupBy("bucket").cogroup(coded.groupBy("bucket")).applyInArrow(_answer, ANSWERED)
+    both = blocks.drop("lens", "text", "text_bytes").groupBy("block").cogroup(known.groupBy("of"))
     if not decoded:
         return both.applyInArrow(_apply, "doc_id long, ids array<int>")
     digest = _digest(model)

@@ -57,6 +57,27 @@ def test_pieces_query_decodes_its_ids(spark, odd_docs, tmp_path):
         assert r.text_sha256 == hashlib.sha256(text.encode()).hexdigest()
 
 
+def test_pieces_shuffle_units_once_and_packed(spark, odd_docs):
+    model = pieces.Model.load(packing.tokenizer_path("piece_bpe_32k.model"))
+    got = pieces.encode(odd_docs.repartition(3), model, block_bytes=1000)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(unit" not in plan and "hashpartitioning(block" not in plan
+    whole = {(r.doc_id, tuple(r.ids)) for r in pieces.encode(odd_docs, model).collect()}
+    assert {(r.doc_id, tuple(r.ids)) for r in got.collect()} == whole and got.count() == odd_docs.count()
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("pieces_")]
+
+
+def test_merges_over_arrays_follow_the_heap(spark):
+    model = pieces.Model.load(packing.tokenizer_path("piece_bpe_32k.model"))
+    rng = np.random.default_rng(5)
+    words = ["".join(rng.choice(list("▁aeinrst🎉\x00é"), rng.integers(1, 40))) for _ in range(400)]
+    got = pieces.encode_units(spark.createDataFrame([(w,) for w in set(words)], "unit string"), model).collect()
+    table = {p: (i, s) for p, i, s in model.pieces}
+    assert len(got) == len(set(words))
+    for r in got:
+        assert r.ids == pieces.encode_unit(r.unit, model, table)
+
+
 def test_unigram_pieces_take_the_best_path(spark):
     model = pieces.Model([("▁", 1, -3.0), ("a", 2, -2.0), ("b", 3, -2.0), ("ab", 4, -2.5), ("▁a", 5, -3.5), ("ba", 6, -1.0), ("aba", 7, -4.9)],
                          {}, 0, 3, "unigram")
