@@ -21,17 +21,19 @@ MOST_PIECES = 1 << 20
 #: Units of more characters than this are encoded one by one instead of by the lattice.
 LONG = 48
 #: Bytes of units whose documents share a dictionary.
-BLOCK_BYTES = 48 << 20
+BLOCK_BYTES = 96 << 20
 #: Texts handed to a task's Python worker at a time.
 BATCH_ROWS = 500
 #: Bytes of units coded at a time.
 PART_BYTES = 8 << 20
 #: Units (counted once per block) of a partition of the lattice.
 PART_UNITS = 200_000
+#: Distinct units of a bucket in a row.
+PART_WORDS = 2_000
 #: Edges merged at a time.
 EDGES = 50_000
-#: Units of documents put together at a time.
-SLICE = 50_000
+#: Units of documents in a row of a block.
+SLICE = 100_000
 #: Bytes of ids decoded at a time.
 ID_BYTES = 1 << 20
 NO_ID = -(1 << 63)
@@ -375,8 +377,15 @@ def _blocks(block_bytes: int):
         rank = np.empty(len(words), np.uint32)
         rank[order] = np.arange(len(words), dtype=np.uint32)
         units_of = words.take(pa.array(order)).cast(pa.string())
-        return _batch([(block, np.concatenate(docs).tobytes(), np.concatenate(sizes).tobytes(), _zip(rank[at]),
-                        len(units_of), *_zip_strings(units_of))], BLOCK)
+        docs, sizes, codes = np.concatenate(docs), np.concatenate(sizes), rank[at]
+        to = np.append(0, np.cumsum(sizes))
+        rows, a = [], 0
+        while a < len(docs):  # about ``SLICE`` units in a row, one document at least; the first row holds the dictionary
+            b = max(a + 1, int(np.searchsorted(to, to[a] + SLICE, "right")) - 1)
+            rows.append((block, docs[a:b].tobytes(), sizes[a:b].tobytes(), _zip(codes[to[a]:to[b]]), len(units_of),
+                         *((None, None, None) if a else _zip_strings(units_of))))
+            a = b
+        return _batch(rows, BLOCK)
 
     def code(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, pa.DictionaryArray]:
         # the texts are held as codes, so that a block never has them twice
@@ -422,15 +431,13 @@ def _deal(buckets: int):
     return run
 
 
-def _distinct(long: bool):
-    """The units of one bucket, once each: those of more than ``LONG`` characters, or the others."""
-
-    def run(asked: pa.Table) -> pa.Table:
-        words = pa.chunked_array([_unzip_strings(r) for r in asked.to_pylist()], pa.string()).unique()
-        words = words.filter(pc.equal(pc.greater(pc.utf8_length(words), LONG), long))
-        return pa.table({"bucket": pa.array(np.full(len(words), asked.column("bucket")[0].as_py(), np.int32)), "unit": words})
-
-    return run
+def _distinct(asked: pa.Table) -> pa.Table:
+    """The units of one bucket, once each, ``PART_WORDS`` in a row."""
+    words = pa.chunked_array([_unzip_strings(r) for r in asked.to_pylist()], pa.string()).unique()
+    at = np.append(np.arange(0, len(words), PART_WORDS), len(words))
+    bucket = np.full(len(at) - 1, asked.column("bucket")[0].as_py(), np.int32)
+    return pa.table({"bucket": bucket, "part": np.arange(len(bucket), dtype=np.int32),
+                     "units": pa.ListArray.from_arrays(pa.array(at, pa.int32()), words)})
 
 
 def _packed(run):
@@ -465,6 +472,8 @@ def _answer(asked: pa.Table, coded: pa.Table) -> pa.Table:
         at = pc.index_in(_unzip_strings(r), value_set=words).to_numpy()
         ids = flat[_ranges(begin[at], count[at])]
         rows.append((r["block"], r["n"], r["pos"], _zip(count[at]), len(ids), _zip(ids)))
+    del got, both, words
+    pa.default_memory_pool().release_unused()  # the worker waits for the next stage
     return pa.Table.from_batches([_batch(rows, ANSWERED)])
 
 
@@ -489,28 +498,23 @@ def list_slices(batch: pa.RecordBatch, name: str, limit: int):
 def _apply(docs: pa.Table, words: pa.Table) -> pa.Table:
     """Ids of one block's documents from the block's own dictionary."""
     out = []
+    length = begin = val = None
     for row in docs.to_pylist():
-        length, begin, flat, done = np.zeros(row["n"], np.int64), np.zeros(row["n"], np.int64), [], 0
-        for w in words.to_pylist():
-            count, ids = _unzip_ids(w)
-            at = np.cumsum(_unzip(w["pos"], w["n"]), dtype=np.int64)
-            length[at], begin[at] = count, done + np.cumsum(count) - count
-            flat.append(ids)
-            done += len(ids)
-        val = np.concatenate(flat) if flat else np.zeros(0, np.int32)
-        doc = np.frombuffer(row["docs"], np.int64)
-        units_to = np.append(0, np.cumsum(np.frombuffer(row["sizes"], np.int64)))
-        codes = _unzip(row["codes"], int(units_to[-1]))
-        a = 0
-        while a < len(doc):  # about ``SLICE`` units at a time, one document at least
-            b = max(a + 1, int(np.searchsorted(units_to, units_to[a] + SLICE, "right")) - 1)
-            at = codes[units_to[a]:units_to[b]]
-            n = length[at]
-            ids = val[_ranges(begin[at], n)]
-            ends = np.append(0, np.cumsum(n))[units_to[a:b + 1] - units_to[a]]
-            lists = pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()), pa.array(ids, pa.int32()))
-            out.append(pa.table({"doc_id": pa.array(doc[a:b], mask=doc[a:b] == NO_ID), "ids": lists.cast(pa.list_(pa.int32()))}))
-            a = b
+        if length is None:
+            length, begin, flat, done = np.zeros(row["n"], np.int64), np.zeros(row["n"], np.int64), [], 0
+            for w in words.to_pylist():
+                count, ids = _unzip_ids(w)
+                at = np.cumsum(_unzip(w["pos"], w["n"]), dtype=np.int64)
+                length[at], begin[at] = count, done + np.cumsum(count) - count
+                flat.append(ids)
+                done += len(ids)
+            val = np.concatenate(flat) if flat else np.zeros(0, np.int32)
+        doc, to = np.frombuffer(row["docs"], np.int64), np.append(0, np.cumsum(np.frombuffer(row["sizes"], np.int64)))
+        at = _unzip(row["codes"], int(to[-1]))
+        n = length[at]
+        ids = val[_ranges(begin[at], n)]
+        lists = pa.LargeListArray.from_arrays(pa.array(np.append(0, np.cumsum(n))[to], pa.int64()), pa.array(ids, pa.int32()))
+        out.append(pa.table({"doc_id": pa.array(doc, mask=doc == NO_ID), "ids": lists.cast(pa.list_(pa.int32()))}))
     return pa.concat_tables(out) if out else pa.table({"doc_id": pa.array([], pa.int64()), "ids": pa.array([], pa.list_(pa.int32()))})
 
 
@@ -547,10 +551,14 @@ def encode(docs: DataFrame, model: Model, block_bytes: int = BLOCK_BYTES, decode
     spark = docs.sparkSession
     cut = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), units("text", model).alias("units"))
     blocks = _written(cut.mapInArrow(_blocks(block_bytes), BLOCK))
-    many = blocks.agg(F.sum("n")).first()[0] or 0
+    dictionaries = blocks.where("text_bytes is not null")
+    many = dictionaries.agg(F.sum("n")).first()[0] or 0
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-many // PART_UNITS))
-    dealt = blocks.select("block", "n", "lens", "text", "text_bytes").mapInArrow(_deal(parts), ASKED).repartition(parts, "bucket")
-    short, long = (dealt.groupBy("bucket").applyInArrow(_distinct(x), "bucket int, unit string") for x in (False, True))
+    dealt = dictionaries.select("block", "n", "lens", "text", "text_bytes").mapInArrow(_deal(parts), ASKED).repartition(parts, "bucket")
+    # dealt evenly, so that a task has one Python worker: for distinct units or for merges
+    words = dealt.groupBy("bucket").applyInArrow(_distinct, "bucket int, part int, units array<string>").repartition(
+        parts, "bucket", "part").select("bucket", F.explode("units").alias("unit"))
+    short, long = words.where(F.length("unit") <= LONG), words.where(F.length("unit") > LONG)
     coded = encode_units(short, model, packed=True).union(long.mapInArrow(_packed(_encode_long(model)), CODED))
     known = dealt.groupBy("bucket").cogroup(coded.groupBy("bucket")).applyInArrow(_answer, ANSWERED)
     both = blocks.drop("lens", "text", "text_bytes").groupBy("block").cogroup(known.groupBy("of"))
